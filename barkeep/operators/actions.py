@@ -151,12 +151,19 @@ def adjust_bars(bars: DataFrame, actions: DataFrame, upto) -> DataFrame:
     days = bars.select("symbol", "date", _as_date_col(upto).alias("_upto")).distinct()
     f = action_factors(days, actions, F.col("_upto"))
     j = bars.join(f, ["symbol", "date"], "left")
-    fac = F.coalesce(F.col("factor"), F.lit(1.0))
+    return rescale(j, "factor").select(*bars.columns)
+
+
+def rescale(bars: DataFrame, factor: str = "factor") -> DataFrame:
+    """Apply a per-row factor column (NULL = 1.0) to prices and volume,
+    then drop it. Exactly 1.0 leaves the bar untouched; a factor of 0
+    leaves the volume alone."""
+    fac = F.coalesce(F.col(factor), F.lit(1.0))
     same = fac == 1.0
-    out = j
+    out = bars
     for p in ("o", "h", "l", "c"):
         out = out.withColumn(p, F.when(same, F.col(p)).otherwise(scale_price(F.col(p), fac)))
     out = out.withColumn(
         "v", F.when(same | (fac == 0), F.col("v"))
               .otherwise(F.bround(F.col("v") / fac, 0).cast("long")))
-    return out.drop("factor").select(*bars.columns)
+    return out.drop(factor)

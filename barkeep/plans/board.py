@@ -6,6 +6,13 @@ at about 120 candles, for one symbol or for all at once.
     BEFORE folding) -> step = max(1, round(bars / 120)) per symbol (W4)
     -> positional fold by that step (A1)
 
+Plan shape: one aggregation of the bars to a DAY TABLE (symbol, date,
+source grain, bar count). Fallback, last-N sessions, step and action
+factors are all decided on that table - its per-symbol windows hold one
+row per session and grain, however many bars a symbol has - and the bars
+are joined to it once, on (symbol, date, grain), before the fold. The
+date range is a literal, so a silver scan prunes to those partitions.
+
 Output: symbol, date, ts, o, h, l, c, v, minutes (= step x source grain;
 the candle size actually drawn).
 """
@@ -14,12 +21,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barkeep.operators.actions import adjust_bars
+from barkeep.operators.actions import action_factors, rescale
 from barkeep.operators.candles import fold_bars
-from barkeep.operators.sessions import last_sessions, source_fallback
 from barkeep.schema import BAR_COLS, BOARD_CANDLES, BOARD_SPECS
 
 
@@ -28,58 +34,72 @@ def board_spec(days: int):
     return next((s for s in BOARD_SPECS if s[0] >= days), BOARD_SPECS[-1])
 
 
-def _end_date(bars: DataFrame, upto) -> Column:
-    if upto is None:
-        return None
-    if isinstance(upto, (dt.date, dt.datetime)):
-        upto = upto.isoformat()[:10]
-    return F.lit(upto).cast("date")
+def _as_date(x) -> dt.date:
+    if isinstance(x, dt.datetime):
+        return x.date()
+    if isinstance(x, dt.date):
+        return x
+    return dt.date.fromisoformat(str(x)[:10])
+
+
+def newest_date(bars: DataFrame):
+    """Newest session date held - one scalar, read from the date column
+    only (partition values on a silver scan)."""
+    return bars.agg(F.max("date")).first()[0]
+
+
+def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
+               end: dt.date, source: str) -> tuple[DataFrame, DataFrame]:
+    """(tagged bars in range, day table with step and factor per
+    (symbol, date, src_minutes) kept)."""
+    start = end - dt.timedelta(days=days * 2 + 10)
+    cols = BAR_COLS + ["date"]
+
+    def in_range(df, minutes):
+        return (df.where(F.col("date").between(F.lit(start), F.lit(end)))
+                  .select(*cols).withColumn("src_minutes", F.lit(minutes)))
+
+    tagged = in_range(bars5, 5)
+    if source == "1m":
+        tagged = in_range(bars1, 1).unionByName(tagged)
+
+    d = tagged.groupBy("symbol", "date", "src_minutes").agg(F.count("*").alias("_n"))
+    per_sym = Window.partitionBy("symbol")
+    # The finest grain a symbol has anywhere in range
+    d = d.withColumn("_best", F.min("src_minutes").over(per_sym)) \
+         .where(F.col("src_minutes") == F.col("_best"))
+    # Newest `days` sessions
+    d = d.withColumn("_r", F.row_number().over(per_sym.orderBy(F.col("date").desc()))) \
+         .where(F.col("_r") <= days)
+    # Candle step from the bars kept
+    d = d.withColumn("_total", F.sum("_n").over(per_sym)).withColumn(
+        "step", F.greatest(F.lit(1), F.bround(F.col("_total") / F.lit(float(BOARD_CANDLES)), 0)
+                           .cast("long")))
+    d = d.select("symbol", "date", "src_minutes", "step")
+    # J1 factors on the same small table
+    f = action_factors(d.select("symbol", "date"), actions, end)
+    d = d.join(f, ["symbol", "date"], "left")
+    return tagged, d
 
 
 def board(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
           upto=None, symbol: str | None = None) -> DataFrame:
-    """Board of `days` sessions ending at `upto` (a date; None = the newest
-    session date held at the source grain, found in-plan)."""
+    """Board of `days` sessions ending at `upto` (a date or ISO string;
+    None = the newest session date held at the spec's source grain)."""
     _d, _target, source = board_spec(days)
-    cols = BAR_COLS + ["date"]
-    b1 = bars1.select(*cols)
-    b5 = bars5.select(*cols)
     if symbol:
         sym = symbol.upper()
-        b1 = b1.where(F.col("symbol") == sym)
-        b5 = b5.where(F.col("symbol") == sym)
-
-    src_bars = b1 if source == "1m" else b5
-    if upto is None:
-        # newest date held: a one-row aggregate over partition values,
-        # crossed in as a column (a one-row side is bounded by definition)
-        end = src_bars.agg(F.max("date").alias("_end"))
-    else:
-        end = src_bars.sparkSession.range(1).select(_end_date(src_bars, upto).alias("_end"))
-    span = days * 2 + 10
-
-    def in_range(df):
-        j = df.crossJoin(F.broadcast(end))
-        return j.where((F.col("date") >= F.date_sub("_end", span))
-                       & (F.col("date") <= F.col("_end")))
-
-    if source == "1m":
-        b = source_fallback(in_range(b1), in_range(b5))
-    else:
-        b = in_range(b5).withColumn("src_minutes", F.lit(5))
-
-    b = last_sessions(b, days)
-    b = adjust_bars(b, actions, F.col("_end"))
-
-    # W4 per symbol, computed on the (symbol, date) count table and joined
-    # back on (symbol, date): no join or window keyed by symbol alone.
-    per_day = b.groupBy("symbol", "date").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy("symbol")
-    per_day = per_day.withColumn("_total", F.sum("_n").over(w)).withColumn(
-        "step", F.greatest(F.lit(1), F.bround(F.col("_total") / F.lit(float(BOARD_CANDLES)), 0).cast("long"))
-    ).select("symbol", "date", "step")
-    b = b.join(per_day, ["symbol", "date"])
-    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes")) \
-         .drop("_end", "src_minutes")
+        bars1 = bars1.where(F.col("symbol") == sym)
+        bars5 = bars5.where(F.col("symbol") == sym)
+    end = _as_date(upto) if upto is not None else newest_date(bars1 if source == "1m" else bars5)
+    spark = bars1.sparkSession
+    if end is None:
+        return spark.createDataFrame(
+            [], "symbol string, date date, ts long, o double, h double, l double, "
+                "c double, v long, minutes long")
+
+    tagged, d = board_days(bars1, bars5, actions, days, end, source)
+    b = rescale(tagged.join(d, ["symbol", "date", "src_minutes"]), "factor")
+    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes")).drop("src_minutes")
     folded = fold_bars(b, F.col("step"))
     return folded.select("symbol", "date", "ts", "o", "h", "l", "c", "v", "minutes")
