@@ -13,16 +13,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barkeep.functions.actions import classify, first_present, parse_feed_date
+from barkeep.functions.actions import classify_columns, first_present, parse_feed_date
 from barkeep.schema import ACTION_COLS, ACTION_KEY
 
 
 def classify_actions(df: DataFrame, subject: str = "subject") -> DataFrame:
     """Add `kind` and `factor` classified from the subject line."""
-    k = classify(subject)
-    return df.withColumn("_k", k).select(
-        *[c for c in df.columns if c not in ("kind", "factor")],
-        F.col("_k.kind").alias("kind"), F.col("_k.factor").alias("factor"))
+    return classify_columns(df.drop("kind", "factor"), subject)
 
 
 def normalise_actions(feed: DataFrame) -> DataFrame:
@@ -44,11 +41,15 @@ def normalise_actions(feed: DataFrame) -> DataFrame:
         present = [pos[n] for n in wanted if n in pos]
         return first_present(*present) if present else F.lit(None).cast("string")
 
+    # the raw date text is staged as its own column: the parser reads it
+    # several times, and an inlined copy per read would multiply its cost
     rows = feed.select(
         F.upper(F.trim(F.coalesce(pick("symbol"), F.lit("")))).alias("symbol"),
-        parse_feed_date(pick("exDate", "ex_dt", "exdate")).alias("ex_date"),
+        F.initcap(F.trim(pick("exDate", "ex_dt", "exdate"))).alias("_raw_date"),
         F.trim(F.coalesce(pick("subject", "purpose"), F.lit(""))).alias("subject"),
-    ).where((F.col("symbol") != "") & F.col("ex_date").isNotNull())
+    )
+    rows = rows.withColumn("ex_date", parse_feed_date("_raw_date")).drop("_raw_date") \
+               .where((F.col("symbol") != "") & F.col("ex_date").isNotNull())
     return classify_actions(rows).select(*ACTION_COLS)
 
 
