@@ -80,6 +80,27 @@ def new_actions(incoming: DataFrame, existing: DataFrame) -> DataFrame:
                          ACTION_KEY, "left_anti")
 
 
+def adjusting(actions: DataFrame) -> DataFrame:
+    """Actions whose factor is known (the ones adjust applies)."""
+    return actions.where(F.col("factor").isNotNull())
+
+
+def unparsed(actions: DataFrame) -> DataFrame:
+    """split/bonus rows without a usable ratio - they stay unadjusted,
+    so they are worth listing."""
+    return actions.where(F.col("factor").isNull() & F.col("kind").isin("split", "bonus"))
+
+
+def splits(actions: DataFrame) -> DataFrame:
+    """Split rows only (the new-split report)."""
+    return actions.where(F.col("kind") == "split")
+
+
+def in_store_order(actions: DataFrame) -> DataFrame:
+    """(ex_date, symbol) order, for presentation at the edge."""
+    return actions.orderBy("ex_date", "symbol", "kind")
+
+
 def action_counts(actions: DataFrame) -> DataFrame:
     """Rows per kind, plus how many of them adjust (factor known) and
     how many split/bonus rows lack a usable ratio (P11)."""

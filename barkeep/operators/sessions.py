@@ -51,3 +51,18 @@ def source_fallback(fine: DataFrame, coarse: DataFrame) -> DataFrame:
     rest = coarse.join(have, "symbol", "left_anti")
     return (fine.withColumn("src_minutes", F.lit(1))
                 .unionByName(rest.withColumn("src_minutes", F.lit(5))))
+
+
+def bars_by_symbol_day(bars: DataFrame) -> DataFrame:
+    """One row per (symbol, date) holding that session's bars as a
+    time-ordered array of (ts, o, h, l, c, v) - the chart-ready nested form.
+    Grouped per session, never per symbol: a group is at most one day's
+    bars, however long a symbol's history."""
+    return bars.groupBy("symbol", "date").agg(
+        F.sort_array(F.collect_list(F.struct("ts", "o", "h", "l", "c", "v"))).alias("bars"))
+
+
+def in_time_order(bars: DataFrame) -> DataFrame:
+    """L1 / L2: (symbol, ts) order, for the edge that presents rows; a
+    global sort is a range shuffle, so keep it out of intermediate plans."""
+    return bars.orderBy("symbol", "ts")

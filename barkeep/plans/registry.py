@@ -14,12 +14,13 @@ from barkeep.operators import checks as K
 from barkeep.operators.candles import fold_bars
 from barkeep.operators.merge import merge_bars
 from barkeep.operators.parse import parse_events, parse_payload
-from barkeep.operators.sessions import (last_sessions, latest_bars, sessions,
-                                        source_fallback)
+from barkeep.operators.sessions import (bars_by_symbol_day, last_sessions, latest_bars,
+                                        sessions, source_fallback)
 from barkeep.plans import bench as B
 from barkeep.plans.board import board
 from barkeep.sources import driver as D
 from barkeep.sources.actions import listed_symbols
+from barkeep.sources.bronze import bronze_quarantine
 from barkeep.sources.silver import archive_stats
 
 # --- fixed parameters of the registered queries ---
@@ -175,6 +176,18 @@ def q_parse_events(spark, sf):
     return parse_events(D.payloads(spark, sf))
 
 
+def q_bronze_quarantine(spark, sf):
+    return bronze_quarantine(D.damaged_payloads(spark, sf))
+
+
+def q_bars_by_symbol_day(spark, sf):
+    nested = bars_by_symbol_day(_b5(spark, sf))
+    # one row per session: its bar count, first and last bar
+    return nested.select("symbol", "date", F.size("bars").alias("n"),
+                         F.col("bars")[0]["ts"].alias("first_ts"),
+                         F.element_at("bars", -1)["c"].alias("last_c"))
+
+
 def q_listed_symbols(spark, sf):
     return listed_symbols(D.symbol_list(spark, sf), ("EQ",))
 
@@ -252,6 +265,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "action_conflicts": q_action_conflicts,
     "parse_payload": q_parse_payload,
     "parse_events": q_parse_events,
+    "bronze_quarantine": q_bronze_quarantine,
+    "bars_by_symbol_day": q_bars_by_symbol_day,
     "listed_symbols": q_listed_symbols,
     "archive_stats": q_archive_stats,
     "check_duplicates": q_check_duplicates,

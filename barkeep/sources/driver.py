@@ -269,3 +269,13 @@ def faulty_bars(bars_df: DataFrame, interval: str = "1m") -> DataFrame:
         F.lit(1.0).alias("o"), F.lit(1.0).alias("h"), F.lit(1.0).alias("l"),
         F.lit(1.0).alias("c"), F.lit(1).cast("long").alias("v"), "date")
     return b.unionByName(dup).unionByName(full)
+
+
+def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payloads where every response fetched on the 7th of a month
+    arrived cut in half (a truncated transfer): the quarantine must name
+    exactly those."""
+    p = payloads(spark, sf_dir)
+    half = F.substring(F.col("payload"), 1, (F.length("payload") / 2).cast("int"))
+    return p.withColumn("payload", F.when(F.dayofmonth("fetched") == 7, half)
+                        .otherwise(F.col("payload")))

@@ -75,14 +75,15 @@ def write_silver(bars: DataFrame, root: str, interval: str,
 
     Range-partitioned on (date, symbol, ts): a day larger than one task's
     share is split across several files, each holding a contiguous symbol
-    range sorted by (symbol, ts); a hot symbol is split by ts. Writing one
-    interval at a time keeps the sort (H6).
+    range sorted by (symbol, ts); a hot symbol is split by ts. With no
+    explicit count, AQE sizes the ranges (advisory partition size), so a
+    small day is one file and a huge one many. Writing one interval at a
+    time keeps the sort (H6).
     """
-    spark = bars.sparkSession
-    n = files_per_day or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = (bars.select(*BAR_COLS, "date")
-               .repartitionByRange(n, "date", "symbol", "ts")
-               .sortWithinPartitions("date", "symbol", "ts"))
+    b = bars.select(*BAR_COLS, "date")
+    keys = ("date", "symbol", "ts")
+    b = b.repartitionByRange(files_per_day, *keys) if files_per_day else b.repartitionByRange(*keys)
+    out = b.sortWithinPartitions(*keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
