@@ -1,13 +1,14 @@
 """Corporate-action store and feed I/O (S9, S10, S11, S12 input side).
 
-The store is a parquet table of `schema.ACTION` rows. Saving writes a new
-versioned directory and then flips a small pointer file, so a reader
-never sees a half-written store and a failed save leaves the old one.
+The store is a parquet table of `schema.ACTION` rows, one directory per
+version; the newest committed version is current, so a reader never sees
+a half-written store and a failed save leaves the old one.
 """
 
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,19 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _current(spark: SparkSession, store: str) -> str | None:
-    fs, p = _fs(spark, os.path.join(store, "CURRENT"))
+    """Newest committed version: version directories sort by creation
+    time, and only a directory holding Spark's _SUCCESS marker counts."""
+    fs, p = _fs(spark, store)
     if not fs.exists(p):
         return None
-    rows = spark.read.text(os.path.join(store, "CURRENT")).collect()  # one line
-    return os.path.join(store, rows[0][0].strip()) if rows else None
+    names = sorted((st.getPath().getName() for st in fs.listStatus(p)
+                    if st.isDirectory() and st.getPath().getName().startswith("v-")),
+                   reverse=True)
+    jvm = spark.sparkContext._jvm
+    for n in names:
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(store, n, "_SUCCESS"))):
+            return os.path.join(store, n)
+    return None
 
 
 def read_actions(spark: SparkSession, store: str) -> DataFrame:
@@ -41,40 +50,30 @@ def read_actions(spark: SparkSession, store: str) -> DataFrame:
 
 def save_actions(spark: SparkSession, incoming: DataFrame, store: str) -> tuple[int, int]:
     """Merge `incoming` into the store; returns (total, added),
-    `added` counting incoming rows whose key was not held (J2)."""
+    `added` counting incoming rows whose key was not held (J2).
+
+    The merged store is written as a NEW version directory; it becomes the
+    current one when Spark commits the job (_SUCCESS), so a reader sees the
+    old store or the new one, never a partial one, and a failed save
+    leaves the old store current."""
     existing = read_actions(spark, store)
     added = new_actions(incoming, existing).count()
     merged = merge_actions(incoming, existing)
-    version = "v-%s" % uuid.uuid4().hex
+    version = "v-%020d-%s" % (time.time_ns(), uuid.uuid4().hex[:8])
     target = os.path.join(store, version)
     merged.write.mode("error").parquet(target)
     total = spark.read.parquet(target).count()
-    # flip the pointer: single line, written whole
-    tmp = os.path.join(store, "CURRENT.tmp-%s" % uuid.uuid4().hex)
-    spark.createDataFrame([(version,)], "v string").coalesce(1) \
-         .write.mode("overwrite").text(tmp)
-    fs, _ = _fs(spark, store)
-    jvm = spark.sparkContext._jvm
-    part = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp))
-            if s.getPath().getName().startswith("part-")][0]
-    cur = jvm.org.apache.hadoop.fs.Path(os.path.join(store, "CURRENT"))
-    fs.delete(cur, True)
-    fs.rename(part, cur)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
     return total, added
 
 
 def read_action_feed(spark: SparkSession, path: str) -> DataFrame:
-    """S12 input: the exchange's JSON array of actions. Field names differ
-    by vintage and by letter case (exDate vs exdate), so the read is case
-    sensitive with an explicit schema."""
-    prev = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        df = spark.read.schema(ACTION_FEED).option("multiLine", "true").json(path)
-        return df.select("*")
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", prev)
+    """S12 input: the exchange's JSON array of actions (one array per file,
+    a day's feed). Field names differ by vintage and only by letter case
+    (exDate / exdate), so each element is parsed as a string map and the
+    keys are looked up exactly - independent of spark.sql.caseSensitive."""
+    raw = spark.read.option("wholetext", "true").text(path)
+    rows = raw.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("r"))
+    return rows.select(*[F.col("r")[f.name].alias(f.name) for f in ACTION_FEED.fields])
 
 
 def listed_symbols(symbol_list: DataFrame, series=("EQ",), limit: int | None = None) -> DataFrame:
