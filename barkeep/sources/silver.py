@@ -30,8 +30,20 @@ def _d(x):
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    """Every interval and date; partition columns typed by the schema."""
-    return spark.read.schema(SILVER).option("basePath", root).parquet(root)
+    """Every interval and date; partition columns typed by the schema.
+
+    A directory whose name is not a date (a stray `date=junk`) is skipped,
+    not fatal: the file index - built here, eagerly - is created without
+    partition-value validation, so such a value reads as NULL and the
+    partition filter below prunes it."""
+    key = "spark.sql.sources.validatePartitionColumns"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.read.schema(SILVER).option("basePath", root).parquet(root)
+    finally:
+        spark.conf.set(key, prev)
+    return df.where(F.col("date").isNotNull())
 
 
 def load_bars(spark: SparkSession, root: str, interval: str,

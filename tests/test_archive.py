@@ -181,3 +181,14 @@ def test_publish_gate(spark, make_bars, scratch):
     res = publish_if_passed(spark, src, dest, as_of="2026-08-19")
     assert all(r.ok for r in res.collect())
     assert load_bars(spark, dest, "1m").count() == 4
+
+
+def test_unparseable_partition_dir_is_skipped(spark, make_bars, scratch):
+    import shutil
+    root = os.path.join(scratch, "silver")
+    write_silver(make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 1)]), root, "1m")
+    base = os.path.join(root, "interval=1m")
+    shutil.copytree(os.path.join(base, "date=2026-08-18"), os.path.join(base, "date=junk"))
+    df = load_bars(spark, root, "1m")
+    assert df.count() == 1
+    assert [r.date for r in sessions(df).collect()] == [dt.date(2026, 8, 18)]
