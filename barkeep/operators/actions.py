@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barkeep.functions.actions import classify_columns, first_present, parse_feed_date
@@ -135,20 +135,28 @@ def action_factors(days: DataFrame, actions: DataFrame, upto) -> DataFrame:
     """For each (symbol, date) row of `days`, the product of every
     known factor of that symbol with date < ex_date <= upto (1.0 if none).
 
-    `days` is the DISTINCT (symbol, date) set - one row per symbol-session,
-    so the range join works on a table that grows with sessions, not with
-    bars. `upto` is a date, an ISO string or a Column (e.g. a per-row end).
-    The join is an equi-join on symbol with the date range as a residual
-    condition; AQE broadcasts the action side when its runtime size allows.
+    An as-of lookup, not a range join - no session is paired with every
+    later action. Per symbol: the factors of one ex-date are multiplied;
+    a suffix product runs over ex-dates from `upto` backwards; then days
+    and ex-dates are merged in one date order (an ex-date sorts before a
+    day of the same date) and each day takes the suffix of the first
+    ex-date after it. The window holds one row per session or action of
+    the symbol - the DISTINCT (symbol, date) `days` set, never bars.
     """
-    acts = actions.where(F.col("factor").isNotNull()).select(
-        F.col("symbol").alias("_as"), F.col("ex_date").alias("_ex"),
-        F.col("factor").alias("_f"))
-    d = days.withColumn("_upto", _as_date_col(upto))
-    j = d.join(acts, (d["symbol"] == acts["_as"]) & (acts["_ex"] > d["date"])
-               & (acts["_ex"] <= d["_upto"]), "left")
-    return (j.groupBy("symbol", "date")
-             .agg(F.coalesce(F.product("_f"), F.lit(1.0)).alias("factor")))
+    end = _as_date_col(upto)
+    a = (actions.where(F.col("factor").isNotNull() & (F.col("ex_date") <= end))
+                .groupBy("symbol", "ex_date").agg(F.product("factor").alias("_f")))
+    later = Window.partitionBy("symbol").orderBy(F.col("ex_date").desc()) \
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a = a.select("symbol", F.col("ex_date").alias("date"),
+                 F.product("_f").over(later).alias("_suffix"), F.lit(0).alias("_tag"))
+    d = days.select("symbol", "date", F.lit(None).cast("double").alias("_suffix"),
+                    F.lit(1).alias("_tag"))
+    ahead = Window.partitionBy("symbol").orderBy("date", "_tag") \
+                  .rowsBetween(1, Window.unboundedFollowing)
+    u = a.unionByName(d).withColumn(
+        "factor", F.coalesce(F.first("_suffix", ignorenulls=True).over(ahead), F.lit(1.0)))
+    return u.where(F.col("_tag") == 1).select("symbol", "date", "factor")
 
 
 def scale_price(price: Column, factor: Column) -> Column:
@@ -170,8 +178,8 @@ def adjust_bars(bars: DataFrame, actions: DataFrame, upto) -> DataFrame:
     symbol-session and joined back on (symbol, date), a key whose groups
     are one session each - no symbol-wide group, however hot the symbol.
     """
-    days = bars.select("symbol", "date", _as_date_col(upto).alias("_upto")).distinct()
-    f = action_factors(days, actions, F.col("_upto"))
+    days = bars.select("symbol", "date").distinct()
+    f = action_factors(days, actions, upto)
     j = bars.join(f, ["symbol", "date"], "left")
     return rescale(j, "factor").select(*bars.columns)
 
