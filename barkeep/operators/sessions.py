@@ -45,12 +45,17 @@ def latest_bars(bars: DataFrame, n: int) -> DataFrame:
 def source_fallback(fine: DataFrame, coarse: DataFrame) -> DataFrame:
     """Per symbol, the fine bars when it has any, else the coarse ones.
     Rows carry `src_minutes` (1 or 5) so callers can label candle sizes.
-    The anti-join is keyed on symbol: AQE broadcasts the distinct symbol
-    set when small and splits a hot symbol's partition otherwise."""
-    have = fine.select("symbol").distinct()
-    rest = coarse.join(have, "symbol", "left_anti")
-    return (fine.withColumn("src_minutes", F.lit(1))
-                .unionByName(rest.withColumn("src_minutes", F.lit(5))))
+
+    The choice is made on the distinct (symbol, date, grain) table - a
+    per-symbol window over one row per session and grain - and the bars
+    are kept with a semi-join on all three keys, so no join group is a
+    whole symbol's history."""
+    tagged = (fine.withColumn("src_minutes", F.lit(1))
+                  .unionByName(coarse.withColumn("src_minutes", F.lit(5))))
+    days = tagged.select("symbol", "date", "src_minutes").distinct()
+    best = days.withColumn("_best", F.min("src_minutes").over(Window.partitionBy("symbol"))) \
+               .where(F.col("src_minutes") == F.col("_best")).drop("_best")
+    return tagged.join(best, ["symbol", "date", "src_minutes"], "left_semi")
 
 
 def bars_by_symbol_day(bars: DataFrame) -> DataFrame:
