@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barkeep.operators.checks import assert_passed, run_checks
 from barkeep.operators.parse import parse_events, parse_payload
+from barkeep.schema import INTERVALS
 from barkeep.sources.actions import save_actions
 from barkeep.sources.bronze import land_bronze, read_bronze
 from barkeep.sources.silver import load_bars, merge_into_silver, write_silver
@@ -53,15 +54,27 @@ def rebuild_silver(spark: SparkSession, bronze_root: str, silver_root: str,
     return merge_into_silver(bars, silver_root, interval)
 
 
+def check_archive(spark: SparkSession, silver_root: str, as_of=None, only=None,
+                  intervals=INTERVALS) -> DataFrame:
+    """C2 over the whole archive: every gate for every interval, one
+    verdict table (each interval is one scan)."""
+    out = None
+    for iv in intervals:
+        r = run_checks(load_bars(spark, silver_root, iv), iv, as_of=as_of, only=only)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def publish_if_passed(spark: SparkSession, silver_root: str, dest_root: str,
-                      as_of, interval: str = "1m", since=None) -> DataFrame:
-    """Gate, then copy. Runs every check over `interval`; raises
-    `ChecksFailed` (nothing copied) on any failure. On a pass the dates
-    from `since` on are dynamic-overwritten at the destination; dates not
-    being published are left alone there (never deleted). Returns the
-    verdict rows."""
-    bars = load_bars(spark, silver_root, interval)
-    results = run_checks(bars, interval, as_of=as_of)
+                      as_of, interval: str = "1m", since=None,
+                      gate_intervals=INTERVALS) -> DataFrame:
+    """Gate, then copy. Runs every check over every interval in
+    `gate_intervals` (the verify step checks the whole archive); raises
+    `ChecksFailed` (nothing copied) on any failure. On a pass the dates of
+    `interval` from `since` on are dynamic-overwritten at the destination;
+    dates not being published are left alone there (never deleted).
+    Returns the verdict rows."""
+    results = check_archive(spark, silver_root, as_of=as_of, intervals=gate_intervals)
     assert_passed(results)
     src = load_bars(spark, silver_root, interval, since=since)
     write_silver(src, dest_root, interval)

@@ -32,10 +32,13 @@ def _d(x):
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     """Every interval and date; partition columns typed by the schema.
 
-    A directory whose name is not a date (a stray `date=junk`) is skipped,
+    A missing archive reads as an empty table. A directory whose name is
+    not a date (a stray `date=junk`) is skipped,
     not fatal: the file index - built here, eagerly - is created without
     partition-value validation, so such a value reads as NULL and the
     partition filter below prunes it."""
+    if not _exists(spark, root):
+        return spark.createDataFrame([], SILVER)      # not fetched yet: empty, not an error
     key = "spark.sql.sources.validatePartitionColumns"
     prev = spark.conf.get(key)
     spark.conf.set(key, "false")

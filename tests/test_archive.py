@@ -175,12 +175,20 @@ def test_publish_gate(spark, make_bars, scratch):
     dest = os.path.join(scratch, "replica")
     rows = [(s, "2026-08-18", "15:%02d" % m, 1, 1, 1, 1, 1) for s in ("A", "B") for m in (0, 1)]
     write_silver(make_bars(rows), src, "1m")
+    with pytest.raises(ChecksFailed):
+        publish_if_passed(spark, src, dest, as_of="2026-08-19")     # no 5m partitions yet
+    write_silver(make_bars([(s, "2026-08-18", "15:00", 1, 1, 1, 1, 1) for s in ("A", "B")]), src, "5m")
     with pytest.raises(ChecksFailed):
         publish_if_passed(spark, src, dest, as_of="2026-08-30")     # stale: nothing copied
     assert not os.path.exists(dest)
     res = publish_if_passed(spark, src, dest, as_of="2026-08-19")
-    assert all(r.ok for r in res.collect())
+    assert all(r.ok for r in res.collect()) and res.count() == 16
     assert load_bars(spark, dest, "1m").count() == 4
+    assert load_bars(spark, dest, "5m").count() == 0                  # only 1m is published
+
+
+def test_missing_archive_reads_empty(spark, scratch):
+    assert load_bars(spark, os.path.join(scratch, "nothing-yet"), "1m").count() == 0
 
 
 def test_unparseable_partition_dir_is_skipped(spark, make_bars, scratch):
