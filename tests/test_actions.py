@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from barkeep.functions.actions import classify, parse_feed_date
 from barkeep.operators.actions import (action_conflicts, action_counts, action_factors,
