@@ -50,26 +50,25 @@ def read_bronze(spark: SparkSession, root: str, interval: str | None = None,
 def read_bronze_files(spark: SparkSession, root: str, interval: str | None = None,
                       fetched_from=None) -> DataFrame:
     """S2 for the one-file-per-response layout: each `<SYMBOL>.json.gz` is
-    one record (whole-file text, gzip decoded by extension); the symbol
-    comes from the file name (Y11)."""
+    one record (whole-file text, gzip decoded by extension); `interval` and
+    `fetched` come from the folder names by partition discovery, so their
+    filters prune folders; the symbol is the file name (Y11)."""
     df = (spark.read.option("wholetext", "true")
-               .option("recursiveFileLookup", "false")
-               .option("basePath", root)
-               .text(root + "/interval=*/fetched=*/*.json.gz"))
-    name = F.col("_metadata.file_name")
-    df = df.select(
-        F.regexp_replace(name, r"\.json\.gz$", "").alias("symbol"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
-        F.col("value").alias("payload"),
-        F.col("_metadata.file_path").alias("path"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"interval=([^/]+)", 1).alias("interval"),
-        F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"fetched=([^/]+)", 1)).alias("fetched"))
+               .option("pathGlobFilter", "*.json.gz")
+               .text(root))
     if interval:
         df = df.where(F.col("interval") == interval)
     if fetched_from:
         d = fetched_from.isoformat() if isinstance(fetched_from, dt.date) else fetched_from
         df = df.where(F.col("fetched") >= F.lit(d).cast("date"))
-    return df
+    name = F.col("_metadata.file_name")
+    return df.select(
+        F.regexp_replace(name, r"\.json\.gz$", "").alias("symbol"),
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("value").alias("payload"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("interval").cast("string").alias("interval"),
+        F.col("fetched").cast("date").alias("fetched"))
 
 
 def bronze_quarantine(bronze: DataFrame) -> DataFrame:
@@ -86,7 +85,8 @@ def bronze_quarantine(bronze: DataFrame) -> DataFrame:
 def unreadable_files(spark: SparkSession, root: str, readable: DataFrame) -> DataFrame:
     """S3, truncated gzip: with `spark.sql.files.ignoreCorruptFiles` on, a
     corrupt file vanishes from a read; listing the files (metadata only,
-    no content) and anti-joining the paths that were read names it."""
+    no content) and anti-joining the paths that were read names it.
+    `readable` must be an unfiltered read of the same `root`."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz")
                    .option("recursiveFileLookup", "true").load(root)
                    .select(F.col("path")))

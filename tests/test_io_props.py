@@ -37,7 +37,9 @@ def test_one_file_per_response_layout(spark, scratch):
     prev = spark.conf.get("spark.sql.files.ignoreCorruptFiles")
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
     try:
-        landed = read_bronze_files(spark, root, "1m").cache()
+        landed = read_bronze_files(spark, root, "1m", fetched_from="2026-08-18").cache()
+        plan = landed._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters" in plan and "fetched" in plan
         assert sorted(r.symbol for r in landed.collect()) == ["INFY", "TCS"]
         bars = parse_payload(landed)
         assert sorted((r.symbol, r.o) for r in bars.collect()) == [
@@ -115,3 +117,12 @@ def test_fold_conserves_totals(spark, rows, factor):
     per = {r.symbol: r.n for r in b.groupBy("symbol").agg(F.count("*").alias("n")).collect()}
     got = {r.symbol: r.n for r in f.groupBy("symbol").agg(F.count("*").alias("n")).collect()}
     assert got == {s: -(-n // factor) for s, n in per.items()}
+
+
+def test_symbol_list_csv(spark, scratch):
+    from barkeep.sources.actions import listed_symbols, read_symbol_list
+    p = os.path.join(scratch, "EQUITY_L.csv")
+    with open(p, "w") as f:
+        f.write("SYMBOL,NAME OF COMPANY, SERIES,DATE OF LISTING\n")
+        f.write("TCS,Tata,EQ,25-AUG-2004\nINFY,Infosys,BE,08-FEB-1995\nTCS,Tata,EQ,x\n,Blank,EQ,x\n")
+    assert [r.symbol for r in listed_symbols(read_symbol_list(spark, p)).collect()] == ["TCS"]
