@@ -183,7 +183,7 @@ def q_bronze_quarantine(spark, sf):
 def q_bars_by_symbol_day(spark, sf):
     nested = bars_by_symbol_day(_b5(spark, sf))
     # one row per session: its bar count, first and last bar
-    return nested.select("symbol", "date", F.size("bars").alias("n"),
+    return nested.select("symbol", "date", F.size("bars").cast("long").alias("n"),
                          F.col("bars")[0]["ts"].alias("first_ts"),
                          F.element_at("bars", -1)["c"].alias("last_c"))
 

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import TABLES, _rows  # noqa: E402
+from oracle_check import TABLES, _rows, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,4 +41,5 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    assert type_mismatches(df.schema, dcols, [d[1] for d in cur.description]) == {}
     assert _rows(df.columns, srows) == _rows(dcols, cur.fetchall())
