@@ -253,8 +253,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adjust_bars": q_adjust_bars,
     "action_factors": q_action_factors,
     "board_1d": _board(1),
+    "board_3d": _board(3),
     "board_7d": _board(7),
     "board_20d": _board(20),
+    "board_44d": _board(44),
     "source_fallback": q_source_fallback,
     "merge_newest_wins": q_merge_newest_wins,
     "merge_actions": q_merge_actions,

@@ -2,6 +2,7 @@
 the driver's tables, on local[$BENCH_CPUS], printing ONE JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_EVENT_LOG=/tmp/some-dir ...   also write Spark's event log there
 
 Stages (seconds each, one cold run; startup is reported apart, as the
 reference does; `reference_set_sec` sums scan + point + resample, the
@@ -40,8 +41,12 @@ def _sf_label(path: str) -> str:
 def main() -> None:
     t0 = time.perf_counter()
     from barkeep.session import build_session, scratch_path
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):       # stage / task times, read offline
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = build_session("local[%d]" % CPUS, app="barkeep-bench",
-                          shuffle_partitions=max(8, CPUS * 2))
+                          shuffle_partitions=max(8, CPUS * 2), extra=extra)
     startup = time.perf_counter() - t0
 
     from pyspark.sql import functions as F
