@@ -25,20 +25,25 @@ from barkeep.sources.silver import load_bars, merge_into_silver, write_silver
 def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
            silver_root: str, action_store: str | None = None) -> dict:
     """Land first, then derive. `payloads` carries (symbol, interval,
-    fetched, payload). Returns counts per interval and for actions."""
-    land_bronze(payloads, bronze_root)
-    out = {}
-    intervals = [r[0] for r in payloads.select("interval").distinct().collect()]  # <= 2 values
-    for iv in sorted(intervals):
-        landed = read_bronze(spark, bronze_root, iv)
-        # only what this call landed: the same fetch dates
-        fetched = payloads.where(F.col("interval") == iv).select("fetched").distinct()
-        batch = landed.join(fetched, "fetched", "left_semi")
-        out[iv] = merge_into_silver(parse_payload(batch), silver_root, iv)
-    if action_store:
-        events = parse_events(payloads)
-        out["actions"] = save_actions(spark, events, action_store)
-    return out
+    fetched, payload). Bars are parsed from what was LANDED (read back from
+    bronze, the durable copy), for the batch's (interval, fetched) keys
+    only - literal partition filters. Returns (days, bars) per interval
+    and (total, added) for actions."""
+    payloads = payloads.persist()
+    try:
+        land_bronze(payloads, bronze_root)
+        # (interval, fetched) of this batch: a few grains x a few fetch days
+        keys = payloads.select("interval", "fetched").distinct().collect()
+        out = {}
+        for iv in sorted({k[0] for k in keys}):
+            days = sorted({k[1] for k in keys if k[0] == iv})
+            batch = read_bronze(spark, bronze_root, iv).where(F.col("fetched").isin(days))
+            out[iv] = merge_into_silver(parse_payload(batch), silver_root, iv)
+        if action_store:
+            out["actions"] = save_actions(spark, parse_events(payloads), action_store)
+        return out
+    finally:
+        payloads.unpersist()
 
 
 def rebuild_silver(spark: SparkSession, bronze_root: str, silver_root: str,
