@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from barkeep.functions.timecols import in_session, session_date
 from barkeep.schema import PAYLOAD
 
+# --- fixed values: subject prefixes of actions read from payload events ---
+SPLIT_SUBJECT = "yahoo split "
+DIVIDEND_SUBJECT = "yahoo dividend "
+# --- end of fixed values ---
+
 
 def _node(payload_col):
     p = F.from_json(payload_col, PAYLOAD)
@@ -76,11 +81,11 @@ def parse_events(bronze: DataFrame) -> DataFrame:
                      & (F.col("e.date") != 0)).select(
         "symbol", session_date(F.col("e.date")).alias("ex_date"),
         F.lit("split").alias("kind"), F.round(den / num, 8).alias("factor"),
-        F.concat(F.lit("yahoo split "), ratio).alias("subject"))
+        F.concat(F.lit(SPLIT_SUBJECT), ratio).alias("subject"))
     d = ev.select("symbol", F.explode(F.map_values("_e.dividends")).alias("e"))
     divs = d.where(F.col("e.date").isNotNull() & (F.col("e.date") != 0)).select(
         "symbol", session_date(F.col("e.date")).alias("ex_date"),
         F.lit("dividend").alias("kind"), F.lit(None).cast("double").alias("factor"),
-        F.concat(F.lit("yahoo dividend "),
+        F.concat(F.lit(DIVIDEND_SUBJECT),
                  F.coalesce(F.col("e.amount"), F.lit("None"))).alias("subject"))
     return splits.unionByName(divs)
