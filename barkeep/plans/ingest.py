@@ -23,12 +23,14 @@ from barkeep.sources.silver import load_bars, merge_into_silver, write_silver
 
 
 def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
-           silver_root: str, action_store: str | None = None) -> dict:
+           silver_root: str, action_store: str | None = None, dry: bool = False) -> dict:
     """Land first, then derive. `payloads` carries (symbol, interval,
     fetched, payload). Bars are parsed from what was LANDED (read back from
     bronze, the durable copy), for the batch's (interval, fetched) keys
     only - literal partition filters. Returns (days, bars) per interval
-    and (total, added) for actions."""
+    and (total, added) for actions. `dry` lands bronze and returns the
+    parsed counts (rows per interval, events) without touching silver or
+    the action store."""
     payloads = payloads.persist()
     try:
         land_bronze(payloads, bronze_root)
@@ -38,9 +40,13 @@ def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
         for iv in sorted({k[0] for k in keys}):
             days = sorted({k[1] for k in keys if k[0] == iv})
             batch = read_bronze(spark, bronze_root, iv).where(F.col("fetched").isin(days))
-            out[iv] = merge_into_silver(parse_payload(batch), silver_root, iv)
-        if action_store:
-            out["actions"] = save_actions(spark, parse_events(payloads), action_store)
+            bars = parse_payload(batch)
+            out[iv] = bars.count() if dry else merge_into_silver(bars, silver_root, iv)
+        events = parse_events(payloads)
+        if dry:
+            out["events"] = events.count()
+        elif action_store:
+            out["actions"] = save_actions(spark, events, action_store)
         return out
     finally:
         payloads.unpersist()
@@ -59,6 +65,14 @@ def rebuild_silver(spark: SparkSession, bronze_root: str, silver_root: str,
     return merge_into_silver(bars, silver_root, interval)
 
 
+def rebuild_archive(spark: SparkSession, bronze_root: str, silver_root: str,
+                    intervals=INTERVALS, fetched_from=None, dry: bool = False) -> dict:
+    """S16 for every grain: {interval: (rows, days)} when `dry`, else
+    {interval: (days rewritten, bars in them)}."""
+    return {iv: rebuild_silver(spark, bronze_root, silver_root, iv, fetched_from, dry)
+            for iv in intervals}
+
+
 def check_archive(spark: SparkSession, silver_root: str, as_of=None, only=None,
                   intervals=INTERVALS) -> DataFrame:
     """C2 over the whole archive: every gate for every interval, one

@@ -8,7 +8,7 @@ from conftest import epoch
 from pyspark.sql import functions as F
 
 from barkeep.operators.merge import merge_bars
-from barkeep.plans.ingest import ingest, publish_if_passed, rebuild_silver
+from barkeep.plans.ingest import ingest, publish_if_passed, rebuild_archive, rebuild_silver
 from barkeep.operators.checks import ChecksFailed
 from barkeep.sources.actions import (listed_symbols, read_actions, save_actions)
 from barkeep.sources.bronze import bronze_quarantine
@@ -119,6 +119,9 @@ def test_ingest_rebuild_stream(spark, scratch):
     ev = {"splits": {"x": {"date": epoch("2026-08-18", "09:15"), "numerator": 5, "denominator": 1}}}
     noon = _bronze_df(spark, [("tcs", "1m", "2026-08-18", _payload("2026-08-18", ["10:00", "10:01"], 10, ev)),
                               ("infy", "1m", "2026-08-18", _payload("2026-08-18", ["10:00"], 20))])
+    dry = ingest(spark, noon, os.path.join(scratch, "bronze-dry"), os.path.join(scratch, "none"), store, dry=True)
+    assert dry == {"1m": 3, "events": 1}
+    assert not os.path.exists(os.path.join(scratch, "none"))
     out = ingest(spark, noon, bronze, silver, store)
     assert out["1m"] == (1, 3)
     assert out["actions"] == (1, 1)
@@ -130,6 +133,7 @@ def test_ingest_rebuild_stream(spark, scratch):
     # a rebuild from bronze alone gives the same archive
     silver2 = os.path.join(scratch, "silver2")
     assert rebuild_silver(spark, bronze, silver2, "1m", dry=True) == (5, 1)
+    assert rebuild_archive(spark, bronze, silver2, intervals=("1m",), dry=True) == {"1m": (5, 1)}
     rebuild_silver(spark, bronze, silver2, "1m")
     same = sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver2, "1m").collect())
     assert same == sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver, "1m").collect())
