@@ -116,6 +116,16 @@ def _board(days):
     return q
 
 
+def q_board_7d_wide(spark, sf):
+    """7-session boards over the wide universe (one symbol per user)."""
+    return board(D.bars(spark, sf, "1m", key="user_id"), D.bars(spark, sf, "5m", key="user_id"),
+                 _store(spark, sf), 7)
+
+
+def q_run_checks_wide(spark, sf):
+    return K.run_checks(D.bars(spark, sf, "1m", key="user_id"), "1m", as_of=AS_OF)
+
+
 def q_source_fallback(spark, sf):
     fine = _b1(spark, sf)
     coarse = _b5(spark, sf).unionByName(D.bars(spark, sf, "5m", key="user_id"))
@@ -257,6 +267,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "board_7d": _board(7),
     "board_20d": _board(20),
     "board_44d": _board(44),
+    "board_7d_wide": q_board_7d_wide,
     "source_fallback": q_source_fallback,
     "merge_newest_wins": q_merge_newest_wins,
     "merge_actions": q_merge_actions,
@@ -280,4 +291,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_fresh": q_check_fresh,
     "run_checks": q_run_checks,
     "run_checks_day": q_run_checks_day,
+    "run_checks_wide": q_run_checks_wide,
 }
