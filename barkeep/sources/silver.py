@@ -107,6 +107,26 @@ def write_silver(bars: DataFrame, root: str, interval: str,
         .parquet(os.path.join(root, "interval=%s" % interval)))
 
 
+def available(spark: SparkSession, root: str, interval: str) -> list:
+    """Session dates held for one interval, oldest first, read from the
+    directory names only (one listing, no file opened); a name that is not
+    a date is skipped."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(os.path.join(root, "interval=%s" % interval))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("date="):
+            try:
+                out.append(dt.date.fromisoformat(name[5:]))
+            except ValueError:
+                continue
+    return sorted(out)
+
+
 def touched_dates(incoming: DataFrame) -> list:
     """Distinct session dates in a batch - one value per calendar day (a
     fetch covers days to weeks), used as a static partition filter."""
@@ -123,17 +143,21 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
     a half-replaced partition), then dynamic-overwrites those dates.
     """
     spark = incoming.sparkSession
-    days = touched_dates(incoming)
-    if not days:
-        return 0, 0
-    part_dir = os.path.join(root, "interval=%s" % interval)
-    existing = None
-    if _exists(spark, part_dir):
-        existing = (load_bars(spark, root, interval)
-                    .where(F.col("date").isin([F.lit(d) for d in days])))
-    merged = merge_bars(incoming, existing)
-    stage = scratch_path(spark, "merge-%s" % interval)
-    merged.write.mode("overwrite").parquet(stage)
+    incoming = incoming.persist()      # read twice: its dates, then the merge
+    try:
+        days = touched_dates(incoming)
+        if not days:
+            return 0, 0
+        part_dir = os.path.join(root, "interval=%s" % interval)
+        existing = None
+        if _exists(spark, part_dir):
+            existing = (load_bars(spark, root, interval)
+                        .where(F.col("date").isin([F.lit(d) for d in days])))
+        merged = merge_bars(incoming, existing)
+        stage = scratch_path(spark, "merge-%s" % interval)
+        merged.write.mode("overwrite").parquet(stage)
+    finally:
+        incoming.unpersist()
     staged = spark.read.parquet(stage)
     write_silver(staged, root, interval)
     return len(days), staged.count()

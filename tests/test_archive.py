@@ -12,7 +12,7 @@ from barkeep.plans.ingest import ingest, publish_if_passed, rebuild_archive, reb
 from barkeep.operators.checks import ChecksFailed
 from barkeep.sources.actions import (listed_symbols, read_actions, save_actions)
 from barkeep.sources.bronze import bronze_quarantine
-from barkeep.sources.silver import (archive_bytes, archive_stats, load_bars, merge_into_silver,
+from barkeep.sources.silver import (archive_bytes, archive_stats, available, load_bars, merge_into_silver,
                                     read_bars_csv, register_views, session_bars, write_silver)
 from barkeep.operators.sessions import sessions
 from barkeep.schema import ACTION
@@ -203,4 +203,6 @@ def test_unparseable_partition_dir_is_skipped(spark, make_bars, scratch):
     shutil.copytree(os.path.join(base, "date=2026-08-18"), os.path.join(base, "date=junk"))
     df = load_bars(spark, root, "1m")
     assert df.count() == 1
+    assert available(spark, root, "1m") == [dt.date(2026, 8, 18)]
+    assert available(spark, root, "5m") == []
     assert [r.date for r in sessions(df).collect()] == [dt.date(2026, 8, 18)]
