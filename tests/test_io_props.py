@@ -126,3 +126,29 @@ def test_symbol_list_csv(spark, scratch):
         f.write("SYMBOL,NAME OF COMPANY, SERIES,DATE OF LISTING\n")
         f.write("TCS,Tata,EQ,25-AUG-2004\nINFY,Infosys,BE,08-FEB-1995\nTCS,Tata,EQ,x\n,Blank,EQ,x\n")
     assert [r.symbol for r in listed_symbols(read_symbol_list(spark, p)).collect()] == ["TCS"]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 12),
+                          st.sampled_from([0.5, 0.2, 0.75, None]),
+                          st.sampled_from(["split", "bonus", "dividend"])), max_size=10),
+       st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 12)), min_size=1, max_size=12),
+       st.integers(0, 12))
+def test_action_factors_match_brute_force(spark, acts, days, upto):
+    """The as-of window lookup equals the definition: product of known
+    factors with day < ex_date <= upto, per symbol."""
+    from barkeep.operators.actions import action_factors
+    base = dt.date(2026, 1, 1)
+    arows = [(s, base + dt.timedelta(days=d), k, f, "x") for s, d, f, k in acts]
+    adf = spark.createDataFrame(arows, ACTION)
+    drows = sorted({(s, base + dt.timedelta(days=d)) for s, d in days})
+    ddf = spark.createDataFrame(drows, "symbol string, date date")
+    end = base + dt.timedelta(days=upto)
+    got = {(r.symbol, r.date): r.factor for r in action_factors(ddf, adf, end).collect()}
+    assert set(got) == set(drows)
+    for sym, day in drows:
+        want = 1.0
+        for s, ex, _k, f, _ in arows:
+            if s == sym and f is not None and day < ex <= end:
+                want *= f
+        assert abs(got[(sym, day)] - want) < 1e-12, (sym, day, got[(sym, day)], want)
