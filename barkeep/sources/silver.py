@@ -140,7 +140,9 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
     Existing rows are read only for the dates the batch touches. The merged
     result is first written to the shared checkpoint folder (lineage cut:
     a lost executor during the final write re-reads durable files, never
-    a half-replaced partition), then dynamic-overwrites those dates.
+    a half-replaced partition), then dynamic-overwrites those dates. When
+    the grain holds nothing yet, nothing of the target is read, and the
+    merge is written straight through.
     """
     spark = incoming.sparkSession
     incoming = incoming.persist()      # read twice: its dates, then the merge
@@ -154,6 +156,12 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
             existing = (load_bars(spark, root, interval)
                         .where(F.col("date").isin([F.lit(d) for d in days])))
         merged = merge_bars(incoming, existing)
+        if existing is None:
+            # nothing of the target is read: write straight through (the
+            # job commit is all-or-nothing for the dates it writes)
+            write_silver(merged, root, interval)
+            return len(days), load_bars(spark, root, interval).where(
+                F.col("date").isin([F.lit(d) for d in days])).count()
         stage = scratch_path(spark, "merge-%s" % interval)
         merged.write.mode("overwrite").parquet(stage)
     finally:
