@@ -25,7 +25,10 @@ def land_bronze(payloads: DataFrame, root: str) -> None:
     df = payloads
     if "landed_at" not in df.columns:
         df = df.withColumn("landed_at", F.current_timestamp())
+    # gzip is not splittable: a few AQE-sized files per folder, each a
+    # contiguous symbol range, rather than one small file per task per folder
     (df.select("symbol", "interval", "fetched", "landed_at", "payload")
+       .repartitionByRange("interval", "fetched", "symbol")
        .write.mode("append").option("compression", "gzip")
        .partitionBy("interval", "fetched").json(root))
 
