@@ -50,11 +50,16 @@ def summarise(path: str, top: int = 15) -> None:
         app = max(logs, key=os.path.getmtime)
         files = sorted(os.path.join(app, f) for f in os.listdir(app)
                        if f.startswith("events_")) if os.path.isdir(app) else [app]
-    stages, task_times = {}, defaultdict(list)
+    stages, task_times, described = {}, defaultdict(list), {}
     for line in _lines(files):
         ev = json.loads(line)
         kind = ev.get("Event")
-        if kind == "SparkListenerTaskEnd":
+        if kind == "SparkListenerJobStart":
+            desc = (ev.get("Properties") or {}).get("spark.job.description")
+            for sid in ev.get("Stage IDs", []):
+                if desc:
+                    described[sid] = desc
+        elif kind == "SparkListenerTaskEnd":
             ti = ev.get("Task Info", {})
             task_times[(ev["Stage ID"], ev["Stage Attempt ID"])].append(
                 ti.get("Finish Time", 0) - ti.get("Launch Time", 0))
@@ -62,7 +67,7 @@ def summarise(path: str, top: int = 15) -> None:
             si = ev["Stage Info"]
             key = (si["Stage ID"], si["Stage Attempt ID"])
             stages[key] = {
-                "name": si.get("Stage Name", "")[:48],
+                "name": (described.get(si["Stage ID"]) or si.get("Stage Name", ""))[:48],
                 "ms": si.get("Completion Time", 0) - si.get("Submission Time", 0),
                 "tasks": si.get("Number of Tasks", 0),
                 "in": _acc(si, "internal.metrics.input.bytesRead"),
