@@ -14,23 +14,26 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barkeep.operators.checks import assert_passed, run_checks
+from barkeep.operators.checks import assert_passed, run_checks, verdicts
 from barkeep.operators.parse import parse_events, parse_payload
 from barkeep.schema import INTERVALS
 from barkeep.sources.actions import save_actions
 from barkeep.sources.bronze import land_bronze, read_bronze
-from barkeep.sources.silver import load_bars, merge_into_silver, write_silver
+from barkeep.sources.silver import (load_bars, merge_into_silver, read_check_summary,
+                                    write_silver)
 
 
 def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
-           silver_root: str, action_store: str | None = None, dry: bool = False) -> dict:
+           silver_root: str, action_store: str | None = None, dry: bool = False,
+           summary_root: str | None = None) -> dict:
     """Land first, then derive. `payloads` carries (symbol, interval,
     fetched, payload). Bars are parsed from what was LANDED (read back from
     bronze, the durable copy), for the batch's (interval, fetched) keys
     only - literal partition filters. Returns (days, bars) per interval
     and (total, added) for actions. `dry` lands bronze and returns the
     parsed counts (rows per interval, events) without touching silver or
-    the action store."""
+    the action store. With `summary_root`, the gates' kept summary is
+    refreshed for the dates each merge touched."""
     payloads = payloads.persist()
     try:
         land_bronze(payloads, bronze_root)
@@ -41,7 +44,8 @@ def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
             days = sorted({k[1] for k in keys if k[0] == iv})
             batch = read_bronze(spark, bronze_root, iv).where(F.col("fetched").isin(days))
             bars = parse_payload(batch)
-            out[iv] = bars.count() if dry else merge_into_silver(bars, silver_root, iv)
+            out[iv] = bars.count() if dry else merge_into_silver(bars, silver_root, iv,
+                                                                 summary_root=summary_root)
         events = parse_events(payloads)
         if dry:
             out["events"] = events.count()
@@ -74,12 +78,17 @@ def rebuild_archive(spark: SparkSession, bronze_root: str, silver_root: str,
 
 
 def check_archive(spark: SparkSession, silver_root: str, as_of=None, only=None,
-                  intervals=INTERVALS) -> DataFrame:
+                  intervals=INTERVALS, summary_root: str | None = None) -> DataFrame:
     """C2 over the whole archive: every gate for every interval, one
-    verdict table (each interval is one scan)."""
+    verdict table. Each interval is one scan of silver; with
+    `summary_root` (kept by `refresh_check_summary`), the verdicts come from
+    the per-(symbol, date) summary table instead - no bar is read."""
     out = None
     for iv in intervals:
-        r = run_checks(load_bars(spark, silver_root, iv), iv, as_of=as_of, only=only)
+        if summary_root:
+            r = verdicts(read_check_summary(spark, summary_root, iv), iv, as_of=as_of, only=only)
+        else:
+            r = run_checks(load_bars(spark, silver_root, iv), iv, as_of=as_of, only=only)
         out = r if out is None else out.unionByName(r)
     return out
 

@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barkeep.operators.checks import check_summary
 from barkeep.operators.merge import merge_bars
 from barkeep.schema import BAR_COLS, BAR_CSV, SILVER
 from barkeep.session import scratch_path
@@ -133,7 +134,8 @@ def touched_dates(incoming: DataFrame) -> list:
     return sorted(r[0] for r in incoming.select("date").distinct().collect())
 
 
-def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[int, int]:
+def merge_into_silver(incoming: DataFrame, root: str, interval: str,
+                      summary_root: str | None = None) -> tuple[int, int]:
     """G1 + S8: merge a batch of parsed bars into silver. Returns
     (days rewritten, bars now in those days).
 
@@ -142,7 +144,8 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
     a lost executor during the final write re-reads durable files, never
     a half-replaced partition), then dynamic-overwrites those dates. When
     the grain holds nothing yet, nothing of the target is read, and the
-    merge is written straight through.
+    merge is written straight through. With `summary_root`, the gates'
+    kept summary is refreshed for the touched dates afterwards.
     """
     spark = incoming.sparkSession
     incoming = incoming.persist()      # read twice: its dates, then the merge
@@ -160,6 +163,8 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
             # nothing of the target is read: write straight through (the
             # job commit is all-or-nothing for the dates it writes)
             write_silver(merged, root, interval)
+            if summary_root:
+                refresh_check_summary(incoming.sparkSession, root, summary_root, interval, days)
             return len(days), load_bars(spark, root, interval).where(
                 F.col("date").isin([F.lit(d) for d in days])).count()
         stage = scratch_path(spark, "merge-%s" % interval)
@@ -168,6 +173,8 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str) -> tuple[in
         incoming.unpersist()
     staged = spark.read.parquet(stage)
     write_silver(staged, root, interval)
+    if summary_root:
+        refresh_check_summary(spark, root, summary_root, interval, days)
     return len(days), staged.count()
 
 
@@ -195,3 +202,30 @@ def archive_bytes(spark: SparkSession, root: str) -> DataFrame:
                   .option("recursiveFileLookup", "true").load(root)
                   .select("path", "length"))
     return files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+_SUMMARY = ("symbol string, n long, n_ts int, last_m int, vol long, bad long, nonpos long, "
+            "misplaced long, date date")
+
+
+def read_check_summary(spark: SparkSession, summary_root: str, interval: str) -> DataFrame:
+    """The kept check summary of one interval (empty if never refreshed)."""
+    path = os.path.join(summary_root, "interval=%s" % interval)
+    if not _exists(spark, path):
+        return spark.createDataFrame([], _SUMMARY)
+    return spark.read.schema(_SUMMARY).parquet(path)
+
+
+def refresh_check_summary(spark: SparkSession, silver_root: str, summary_root: str,
+                          interval: str, dates) -> None:
+    """Recompute the check summary for `dates` from silver (only those
+    partitions are read) and replace just those dates in the kept summary
+    (dynamic overwrite). Call it with the dates a merge touched: the
+    nightly gates then cost the new data, not the archive."""
+    if not dates:
+        return
+    bars = load_bars(spark, silver_root, interval).where(
+        F.col("date").isin([F.lit(d) for d in dates]))
+    (check_summary(bars).repartition("date").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("date")
+        .parquet(os.path.join(summary_root, "interval=%s" % interval)))
