@@ -95,14 +95,16 @@ def check_archive(spark: SparkSession, silver_root: str, as_of=None, only=None,
 
 def publish_if_passed(spark: SparkSession, silver_root: str, dest_root: str,
                       as_of, interval: str = "1m", since=None,
-                      gate_intervals=INTERVALS) -> DataFrame:
+                      gate_intervals=INTERVALS, summary_root: str | None = None) -> DataFrame:
     """Gate, then copy. Runs every check over every interval in
     `gate_intervals` (the verify step checks the whole archive); raises
     `ChecksFailed` (nothing copied) on any failure. On a pass the dates of
     `interval` from `since` on are dynamic-overwritten at the destination;
     dates not being published are left alone there (never deleted).
+    With `summary_root` the gates read the kept summary, not the bars.
     Returns the verdict rows."""
-    results = check_archive(spark, silver_root, as_of=as_of, intervals=gate_intervals)
+    results = check_archive(spark, silver_root, as_of=as_of, intervals=gate_intervals,
+                            summary_root=summary_root)
     assert_passed(results)
     src = load_bars(spark, silver_root, interval, since=since)
     write_silver(src, dest_root, interval)

@@ -35,10 +35,12 @@ def bronze_stream(spark: SparkSession, bronze_root: str,
 def stream_merge(spark: SparkSession, bronze_root: str, silver_root: str,
                  name: str = "bronze-to-silver", checkpoint: str | None = None,
                  available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 summary_root: str | None = None) -> StreamingQuery:
     """Start the incremental merge. `available_now` processes everything
     landed so far in bounded micro-batches, then stops (a nightly run);
-    otherwise it keeps polling every minute."""
+    otherwise it keeps polling every minute. With `summary_root`, the
+    gates' kept summary is refreshed for each batch's dates."""
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream", name)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
@@ -46,7 +48,8 @@ def stream_merge(spark: SparkSession, bronze_root: str, silver_root: str,
         bars = parse_payload(batch).persist()
         try:
             for iv in ("1m", "5m"):
-                merge_into_silver(bars.where(bars["interval"] == iv), silver_root, iv)
+                merge_into_silver(bars.where(bars["interval"] == iv), silver_root, iv,
+                                  summary_root=summary_root)
         finally:
             bars.unpersist()
 

@@ -139,11 +139,17 @@ def test_ingest_rebuild_stream(spark, scratch):
     assert same == sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver, "1m").collect())
     # ... and so does the incremental stream, run twice (idempotent replay)
     silver3 = os.path.join(scratch, "silver3")
+    summary3 = os.path.join(scratch, "summary3")
     for _ in range(2):
-        q = stream_merge(spark, bronze, silver3, checkpoint=os.path.join(scratch, "ck"))
+        q = stream_merge(spark, bronze, silver3, checkpoint=os.path.join(scratch, "ck"),
+                         summary_root=summary3)
         q.awaitTermination(120)
     s3 = sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver3, "1m").collect())
     assert s3 == same
+    from barkeep.plans.ingest import check_archive
+    kept = check_archive(spark, silver3, as_of="2026-08-19", intervals=("1m",), summary_root=summary3)
+    full = check_archive(spark, silver3, as_of="2026-08-19", intervals=("1m",))
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, full.collect()))
 
 
 def test_quarantine(spark):
