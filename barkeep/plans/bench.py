@@ -35,9 +35,3 @@ def sample_symbol_day(bars5: DataFrame) -> DataFrame:
     so the probe is deterministic."""
     return bars5.select("symbol", "date").orderBy("symbol", "date").limit(1)
 
-
-def point_all(bars5: DataFrame) -> DataFrame:
-    """A3 for every (symbol, date) at once - the set-based form of the
-    point probe: one pass instead of one query per symbol-day."""
-    return bars5.groupBy("symbol", "date").agg(
-        F.count("*").alias("bars"), F.min("l").alias("lo"), F.max("h").alias("hi"))
