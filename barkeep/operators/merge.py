@@ -3,7 +3,8 @@
 Incoming rows rank above existing ones; among incoming, a later `fetched`
 date, then a later `landed_at`, wins; remaining ties (identical keys and
 provenance) resolve by the bar values, so the result is deterministic and
-merging is idempotent: merge(merge(a, b), b) == merge(a, b).
+merging is idempotent: with incoming batch b and archive a,
+merge_bars(b, merge_bars(b, a)) == merge_bars(b, a).
 
 Implemented as an aggregate (max of a struct), not a row_number window:
 the map side combines every copy of a key before the shuffle, so a key
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from barkeep.schema import BAR_COLS
 
 
-
 def _no_date():
     return F.lit("0001-01-01").cast("date")
 
