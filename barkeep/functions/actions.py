@@ -113,5 +113,10 @@ def classify_columns(df: DataFrame, subject: str = "subject") -> DataFrame:
     n1, n2 = F.col("_n1"), F.col("_n2")
     kind, factor = _kind_factor(F.col("_s"), F.col("_bm"), F.col("_sw"), F.col("_sm"),
                                 F.col("_dm"), n1, n2, n1, n2)
-    return s.withColumn("kind", kind).withColumn("factor", factor) \
-            .drop("_s", "_bm", "_sw", "_sm", "_dm", "_g1", "_g2", "_n1", "_n2")
+    out = s.withColumn("kind", kind).withColumn("factor", factor) \
+           .drop("_s", "_bm", "_sw", "_sm", "_dm", "_g1", "_g2", "_n1", "_n2")
+    # One row in, one row out through a generator: a later predicate on
+    # kind / factor stays above it instead of being pushed down and
+    # re-inlined into every staged regex column (which repeats the regex
+    # work and can overflow generated code).
+    return out.select(F.inline(F.array(F.struct(*out.columns))))

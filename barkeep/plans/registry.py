@@ -166,6 +166,10 @@ def q_classify_actions(spark, sf):
     return A.classify_actions(feed.select(subj))
 
 
+def q_unparsed_actions(spark, sf):
+    return A.unparsed(_feed(spark, sf))
+
+
 def q_action_counts(spark, sf):
     return A.action_counts(_feed(spark, sf))
 
@@ -214,6 +218,12 @@ def q_check_duplicates(spark, sf):
     return K.check_duplicates(_faulty(spark, sf))
 
 
+def q_top_duplicates(spark, sf):
+    """L4: the five most-copied bars, ties broken by symbol then ts."""
+    return K.top_offenders(K.check_duplicates(_faulty(spark, sf)),
+                           [F.col("n").desc(), "symbol", "ts"])
+
+
 def q_check_malformed(spark, sf):
     return K.check_malformed(_faulty(spark, sf))
 
@@ -274,6 +284,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_actions": q_new_actions,
     "classify_actions": q_classify_actions,
     "action_counts": q_action_counts,
+    "unparsed_actions": q_unparsed_actions,
     "normalise_actions": q_normalise_actions,
     "action_conflicts": q_action_conflicts,
     "parse_payload": q_parse_payload,
@@ -283,6 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listed_symbols": q_listed_symbols,
     "archive_stats": q_archive_stats,
     "check_duplicates": q_check_duplicates,
+    "top_duplicates": q_top_duplicates,
     "check_malformed": q_check_malformed,
     "check_nonpositive": q_check_nonpositive,
     "check_oversize": q_check_oversize,
