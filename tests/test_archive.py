@@ -11,7 +11,8 @@ from barkeep.operators.merge import merge_bars
 from barkeep.plans.ingest import ingest, publish_if_passed, rebuild_archive, rebuild_silver
 from barkeep.operators.checks import ChecksFailed
 from barkeep.sources.actions import (listed_symbols, read_actions, save_actions)
-from barkeep.sources.bronze import bronze_quarantine
+from barkeep.operators.parse import parse_payload
+from barkeep.sources.bronze import bronze_quarantine, land_bronze, read_bronze
 from barkeep.sources.silver import (archive_bytes, archive_stats, available, load_bars, merge_into_silver,
                                     read_bars_csv, register_views, session_bars, write_silver)
 from barkeep.operators.sessions import sessions
@@ -212,3 +213,32 @@ def test_unparseable_partition_dir_is_skipped(spark, make_bars, scratch):
     assert available(spark, root, "1m") == [dt.date(2026, 8, 18)]
     assert available(spark, root, "5m") == []
     assert [r.date for r in sessions(df).collect()] == [dt.date(2026, 8, 18)]
+
+
+def test_reland_same_key_and_partial_rebuild(spark, scratch):
+    import datetime as _dt
+    bronze = os.path.join(scratch, "bronze")
+    silver = os.path.join(scratch, "silver")
+
+    def landed(sym, fetched, base, at):
+        return spark.createDataFrame(
+            [(sym, "1m", _dt.date.fromisoformat(fetched), _dt.datetime.fromisoformat(at),
+              _payload("2026-08-18", ["10:00"], base))],
+            "symbol string, interval string, fetched date, landed_at timestamp, payload string")
+
+    land_bronze(landed("tcs", "2026-08-18", 10, "2026-08-18 12:00:00"), bronze)
+    # the same key landed again later the same day: it replaces the first
+    land_bronze(landed("tcs", "2026-08-18", 20, "2026-08-18 18:00:00"), bronze)
+    # and a later fetch of the same session
+    land_bronze(landed("tcs", "2026-08-19", 30, "2026-08-19 18:00:00"), bronze)
+    rebuild_silver(spark, bronze, silver, "1m")                 # everything landed
+    assert [r.o for r in load_bars(spark, silver, "1m").collect()] == [30.0]
+    # partial rebuild from the older fetch date: every later fetch is read too
+    silver2 = os.path.join(scratch, "silver2")
+    rebuild_silver(spark, bronze, silver2, "1m", fetched_from="2026-08-18")
+    assert [r.o for r in load_bars(spark, silver2, "1m").collect()] == [30.0]
+    # only the re-landed pair: the later landing wins
+    silver3 = os.path.join(scratch, "silver3")
+    only18 = read_bronze(spark, bronze, "1m").where(F.col("fetched") == F.lit("2026-08-18").cast("date"))
+    merge_into_silver(parse_payload(only18), silver3, "1m")
+    assert [r.o for r in load_bars(spark, silver3, "1m").collect()] == [20.0]
