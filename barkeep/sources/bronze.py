@@ -55,9 +55,12 @@ def read_bronze_files(spark: SparkSession, root: str, interval: str | None = Non
     """S2 for the one-file-per-response layout: each `<SYMBOL>.json.gz` is
     one record (whole-file text, gzip decoded by extension); `interval` and
     `fetched` come from the folder names by partition discovery, so their
-    filters prune folders; the symbol is the file name (Y11)."""
+    filters prune folders; the symbol is the file name (Y11). A truncated
+    or non-gzip file is skipped rather than failing the read, as the copy
+    of last resort must stay readable; `unreadable_files` names it."""
     df = (spark.read.option("wholetext", "true")
                .option("pathGlobFilter", "*.json.gz")
+               .option("ignoreCorruptFiles", "true")      # skipped here, named by unreadable_files
                .text(root))
     if interval:
         df = df.where(F.col("interval") == interval)
@@ -86,9 +89,9 @@ def bronze_quarantine(bronze: DataFrame) -> DataFrame:
 
 
 def unreadable_files(spark: SparkSession, root: str, readable: DataFrame) -> DataFrame:
-    """S3, truncated gzip: with `spark.sql.files.ignoreCorruptFiles` on, a
-    corrupt file vanishes from a read; listing the files (metadata only,
-    no content) and anti-joining the paths that were read names it.
+    """S3, truncated gzip: `read_bronze_files` skips a corrupt file;
+    listing the files (metadata only, no content) and anti-joining the
+    paths that were read names it.
     `readable` must be an unfiltered read of the same `root`."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz")
                    .option("recursiveFileLookup", "true").load(root)
