@@ -40,8 +40,10 @@ def read_bronze(spark: SparkSession, root: str, interval: str | None = None,
                 fetched_from=None) -> DataFrame:
     """Landed responses; `interval` and `fetched_from` (this fetch date
     and every later one, so a partial rebuild still lets the newest fetch
-    win - X6) are partition filters."""
-    df = spark.read.schema(_LANDED).option("basePath", root).json(root)
+    win - X6) are partition filters. A damaged file is skipped, not fatal
+    (`unreadable_files` names it)."""
+    df = (spark.read.schema(_LANDED).option("basePath", root)
+               .option("ignoreCorruptFiles", "true").json(root))
     if interval:
         df = df.where(F.col("interval") == interval)
     if fetched_from:

@@ -26,7 +26,8 @@ def bronze_stream(spark: SparkSession, bronze_root: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed responses as a stream (JSON lines, partition columns from the
     interval=/fetched= folders)."""
-    r = spark.readStream.schema(_LANDED).option("basePath", bronze_root)
+    r = (spark.readStream.schema(_LANDED).option("basePath", bronze_root)
+              .option("ignoreCorruptFiles", "true"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(bronze_root)
