@@ -68,6 +68,12 @@ def q_bench_resample(spark, sf):
     return B.bench_resample(_b1(spark, sf), RESAMPLE_SYMBOL)
 
 
+def q_resample_all(spark, sf):
+    """A4 over every symbol: 300-second clock buckets of all minute bars."""
+    from barkeep.operators.candles import resample
+    return resample(_b1(spark, sf), 300)
+
+
 def q_sample_symbol_day(spark, sf):
     return B.sample_symbol_day(_b5(spark, sf))
 
@@ -263,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bench_scan": q_bench_scan,
     "bench_point": q_bench_point,
     "bench_resample": q_bench_resample,
+    "resample_all": q_resample_all,
     "sample_symbol_day": q_sample_symbol_day,
     "load_bars": q_load_bars,
     "session_bars": q_session_bars,
