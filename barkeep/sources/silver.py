@@ -84,6 +84,29 @@ def register_views(spark: SparkSession, root: str) -> None:
         load_bars(spark, root, iv).createOrReplaceTempView("bars%s" % iv.rstrip("m"))
 
 
+# Target size of one silver file (compressed), for sizing range partitions.
+FILE_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(size_bytes: int, base: int, target: int = FILE_BYTES,
+                   cap: int = 200_000) -> int | None:
+    """Range partitions for a write of `size_bytes`: None (let AQE size
+    them) when the default `base` count already covers it, else
+    ceil(size / target), capped. AQE only merges ranges, never splits
+    them, so a large write must start with enough."""
+    if size_bytes <= 0 or size_bytes >= 1 << 60:       # unknown estimate
+        return None
+    n = -(-size_bytes // target)
+    return None if n <= base else min(n, cap)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - an estimate only
+        return 0
+
+
 def write_silver(bars: DataFrame, root: str, interval: str,
                  files_per_day: int | None = None) -> None:
     """S8 sink: write into `<root>/interval=<interval>/`, replacing only the
@@ -91,14 +114,17 @@ def write_silver(bars: DataFrame, root: str, interval: str,
 
     Range-partitioned on (date, symbol, ts): a day larger than one task's
     share is split across several files, each holding a contiguous symbol
-    range sorted by (symbol, ts); a hot symbol is split by ts. With no
-    explicit count, AQE sizes the ranges (advisory partition size), so a
-    small day is one file and a huge one many. Writing one interval at a
-    time keeps the sort (H6).
+    range sorted by (symbol, ts); a hot symbol is split by ts. The range
+    count comes from the optimizer's size estimate of the input (about
+    one range per 256 MB) when that exceeds the default; smaller writes
+    let AQE coalesce the ranges, so a small day is one file and a huge one
+    many. Writing one interval at a time keeps the sort (H6).
     """
     b = bars.select(*BAR_COLS, "date")
     keys = ("date", "symbol", "ts")
-    b = b.repartitionByRange(files_per_day, *keys) if files_per_day else b.repartitionByRange(*keys)
+    n = files_per_day or partitions_for(
+        _estimated_bytes(b), int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    b = b.repartitionByRange(n, *keys) if n else b.repartitionByRange(*keys)
     out = b.sortWithinPartitions(*keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

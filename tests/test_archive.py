@@ -242,3 +242,12 @@ def test_reland_same_key_and_partial_rebuild(spark, scratch):
     only18 = read_bronze(spark, bronze, "1m").where(F.col("fetched") == F.lit("2026-08-18").cast("date"))
     merge_into_silver(parse_payload(only18), silver3, "1m")
     assert [r.o for r in load_bars(spark, silver3, "1m").collect()] == [20.0]
+
+
+def test_range_partitions_sized_from_estimate():
+    from barkeep.sources.silver import FILE_BYTES, partitions_for
+    assert partitions_for(10 << 20, 200) is None                   # small: AQE sizes it
+    assert partitions_for(100 * FILE_BYTES, 200) is None           # default covers it
+    assert partitions_for(1000 * FILE_BYTES + 1, 200) == 1001      # large: one range per 256 MB
+    assert partitions_for(100 << 40, 200) == 200_000               # 100 TB: capped
+    assert partitions_for(0, 200) is None and partitions_for(1 << 62, 200) is None
