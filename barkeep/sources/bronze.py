@@ -25,12 +25,16 @@ def land_bronze(payloads: DataFrame, root: str) -> None:
     df = payloads
     if "landed_at" not in df.columns:
         df = df.withColumn("landed_at", F.current_timestamp())
-    # gzip is not splittable: a few AQE-sized files per folder, each a
+    # gzip is not splittable: a few sized files per folder, each a
     # contiguous symbol range, rather than one small file per task per folder
-    (df.select("symbol", "interval", "fetched", "landed_at", "payload")
-       .repartitionByRange("interval", "fetched", "symbol")
-       .write.mode("append").option("compression", "gzip")
-       .partitionBy("interval", "fetched").json(root))
+    from barkeep.sources.silver import _estimated_bytes, partitions_for
+    rows = df.select("symbol", "interval", "fetched", "landed_at", "payload")
+    keys = ("interval", "fetched", "symbol")
+    n = partitions_for(_estimated_bytes(rows),
+                       int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartitionByRange(n, *keys) if n else rows.repartitionByRange(*keys)
+    (rows.write.mode("append").option("compression", "gzip")
+         .partitionBy("interval", "fetched").json(root))
 
 
 _LANDED = "symbol string, landed_at timestamp, payload string, interval string, fetched date"
