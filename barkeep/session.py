@@ -4,6 +4,8 @@ scratch folder the cluster names in `spark.checkpoint.dir`."""
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,7 +24,6 @@ SESSION_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-_LOCAL_CHECKPOINT = "/tmp/barkeep-checkpoints"
 
 
 def build_session(master: str | None = None, app: str = "barkeep",
@@ -46,12 +47,21 @@ def build_session(master: str | None = None, app: str = "barkeep",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder. Read from the session; set our own
-    only when the cluster names none (local tests)."""
+    """The shared checkpoint folder: the one already set, else the one in
+    `spark.checkpoint.dir`. A fresh temporary folder is made only for a
+    `local[..]` master, where driver and tasks are one process on one disk;
+    any other master without a named folder is an error."""
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_CHECKPOINT
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+    d = sc.getCheckpointDir()
+    if d:
+        # Spark appends a folder of its own to the one that was set.
+        return d.rstrip("/").rsplit("/", 1)[0]
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+        d = tempfile.mkdtemp(prefix="barkeep-")
+    sc.setCheckpointDir(d)
     return d
 
 
