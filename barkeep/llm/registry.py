@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from barkeep.llm.bpe import op7_bpe
+from barkeep.llm.langid import op4_langid
 from barkeep.llm.toxicity import op2_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_toxicity,)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_langid, op7_bpe)}
 
 #: DuckDB SQL for the queries it can express.
 ORACLES: dict[str, str] = {}
