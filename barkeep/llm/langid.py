@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from barkeep.llm.common import SEGMENT, groups_of, id_fold, mix, text_bytes
 
 BINS, CENTROIDS, FIT_ROWS, ROUNDS, RADIUS_QUANTILE = 4096, 4, 400, 12, 0.005
+MANY_LANGS = 10_000
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -91,6 +92,8 @@ def fit(docs: DataFrame, seed: int = 5, rows: int = FIT_ROWS) -> Model:
     n = df.pop(-1, 0) or 0
     idf = np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(BINS)]))).astype(np.float32) + 0.1
     share = known.groupBy("lang").agg(F.count("*").alias("__rows"))
+    if share.count() <= MANY_LANGS:  # the proven bound that allows the broadcast
+        share = F.broadcast(share)
     chosen = known.join(share, "lang").where(
         F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) * F.col("__rows") < F.lit(rows << 30))
 
