@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from barkeep.llm.ann import op6_ann
 from barkeep.llm.bpe import op7_bpe
 from barkeep.llm.chat import OP3_SQL, op3_chat
 from barkeep.llm.fingerprint import op8_fingerprint
 from barkeep.llm.langid import op4_langid
+from barkeep.llm.mixing import op5_mixing
 from barkeep.llm.secrets import op9_secrets
 from barkeep.llm.toxicity import op2_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_chat, op4_langid, op7_bpe, op8_fingerprint,
-                                    op9_secrets)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_chat, op4_langid, op5_mixing, op6_ann, op7_bpe,
+                                    op8_fingerprint, op9_secrets)}
 
 #: DuckDB SQL for the queries it can express.
 ORACLES: dict[str, str] = {"op3_chat": OP3_SQL}
