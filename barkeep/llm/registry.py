@@ -9,11 +9,12 @@ from barkeep.llm.fingerprint import op8_fingerprint
 from barkeep.llm.langid import op4_langid
 from barkeep.llm.lm import OP1_SQL, op1_lm
 from barkeep.llm.mixing import op5_mixing
+from barkeep.llm.neardup import OP10_SQL, op10_neardup
 from barkeep.llm.secrets import op9_secrets
 from barkeep.llm.toxicity import op2_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_lm, op2_toxicity, op3_chat, op4_langid, op5_mixing, op6_ann,
-                                    op7_bpe, op8_fingerprint, op9_secrets)}
+                                    op7_bpe, op8_fingerprint, op9_secrets, op10_neardup)}
 
 #: DuckDB SQL for the queries it can express.
-ORACLES: dict[str, str] = {"op1_lm": OP1_SQL, "op3_chat": OP3_SQL}
+ORACLES: dict[str, str] = {"op1_lm": OP1_SQL, "op3_chat": OP3_SQL, "op10_neardup": OP10_SQL}

@@ -140,10 +140,10 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     return Machine(terms[keep].astype(np.int64), float(value[0]), value[1:k + 1], value[k + 1:].reshape(k, FACTORS))
 
 
-def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` and `score`, one row per input row."""
+def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
+    """The columns `keep` and the score as `out`, one row per input row."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    schema = docs.select(*keep).schema.add("score", "double")
+    schema = docs.select(*keep).schema.add(out, "double")
 
     def run(batches):
         import pyarrow as pa
@@ -152,15 +152,15 @@ def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text
         known[fm.terms & ((1 << 20) - 1)] = True
         for b in batches:
             texts = text_bytes(b.column(b.num_columns - 1))
-            out = np.zeros(len(texts))
+            score = np.zeros(len(texts))
             for lo, hi in groups_of([len(t or b"") for t in texts]):
                 doc, term = term_sets(texts[lo:hi], known)
                 at = np.searchsorted(fm.terms, term)
                 at[at == len(fm.terms)] = 0
                 on = fm.terms[at] == term if len(fm.terms) else np.zeros(len(term), bool)
-                out[lo:hi] = fm.scores(doc[on], at[on], hi - lo)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(out)],
-                                             [*b.schema.names[:-1], "score"])
+                score[lo:hi] = fm.scores(doc[on], at[on], hi - lo)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(score)],
+                                             [*b.schema.names[:-1], out])
 
     return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
 

@@ -8,9 +8,10 @@ docs. All but the last return the columns of `documents`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barkeep.llm import bpe, mixing, neardup, secrets
 from barkeep.llm import toxicity as tox
 from barkeep.llm.common import stored, table
 
@@ -19,12 +20,55 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores 0.5 or more go; a null
     or empty text has no term and stays."""
     machine = tox.fit(docs, table(spark, sf_dir, "labels"))
-    kept = [c for c in docs.columns if c != "__text"]
-    return tox.scored(docs, machine, kept).where(F.col("score") < 0.5).select(*kept)
+    return tox.scored(docs, machine, docs.columns, out="__score").where(F.col("__score") < 0.5).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five words, 0.8),
+    the one with the least id; of rows that share an id, the first by text.
+    Documents without shingles or without an id stay."""
+    found = stored(neardup.near_duplicates(docs), "pipeline-groups").where("doc_id is not null")
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    again = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("__rows")).where("__rows > 1").select("doc_id")
+
+    def ids(frame: DataFrame) -> DataFrame:
+        """Broadcast behind a check of their number."""
+        frame = stored(frame, "pipeline-ids")
+        return F.broadcast(frame) if frame.count() <= neardup.FEW_IDS else frame
+
+    left = docs.join(ids(gone), "doc_id", "left_anti").select(*docs.columns)
+    again = ids(again)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    once = left.join(again, "doc_id", "left_semi").withColumn("__row", first).where("__row = 1").select(*docs.columns)
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret span is replaced by a mark; other texts stay as they are."""
+    found = secrets.scanned(docs)
+    out = found.withColumn("__new", secrets.redacted(F.col("text"), F.col("__spans")))
+    columns = {"text": F.col("__new")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.size("__spans") > 0, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumns(columns).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: none to three times."""
+    return mixing.mixed(docs).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    return bpe.encoded(docs)
 
 
 STAGES = [
     ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secret_scan),
+    ("mixing", mix),
+    ("bpe", encode),
 ]
 
 #: The models and the sketches cannot be written as SQL; tests/llm holds each
