@@ -152,10 +152,11 @@ def action_factors(days: DataFrame, actions: DataFrame, upto) -> DataFrame:
                  F.product("_f").over(later).alias("_suffix"), F.lit(0).alias("_tag"))
     d = days.select("symbol", "date", F.lit(None).cast("double").alias("_suffix"),
                     F.lit(1).alias("_tag"))
-    ahead = Window.partitionBy("symbol").orderBy("date", "_tag") \
-                  .rowsBetween(1, Window.unboundedFollowing)
+    # From the latest date backwards: a running frame, linear in the rows.
+    ahead = Window.partitionBy("symbol").orderBy(F.col("date").desc(), F.col("_tag").desc()) \
+                  .rowsBetween(Window.unboundedPreceding, -1)
     u = a.unionByName(d).withColumn(
-        "factor", F.coalesce(F.first("_suffix", ignorenulls=True).over(ahead), F.lit(1.0)))
+        "factor", F.coalesce(F.last("_suffix", ignorenulls=True).over(ahead), F.lit(1.0)))
     return u.where(F.col("_tag") == 1).select("symbol", "date", "factor")
 
 

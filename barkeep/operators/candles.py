@@ -55,15 +55,17 @@ def fold_bars(bars: DataFrame, factor: int) -> DataFrame:
     session may be short, and a candle never crosses a session.
 
     `factor` may be an int or a Column (per-row step, e.g. a board's).
-    Partitioned by (symbol, date): a group is one symbol-session, at most
-    376 bars at 1m, so no group grows with the archive.
+    Partitioned by (symbol, date) and the columns carried along (a grain, a
+    step), so rows of two grains never share a candle: a group is one
+    symbol-session, at most 376 bars at 1m, and does not grow with the
+    archive.
     """
     if isinstance(factor, int) and factor <= 1:
         return bars
     step = F.lit(factor) if isinstance(factor, int) else factor
     keys = ["symbol", "date"]
     extra = [c for c in bars.columns if c not in BAR_COLS + ["date", "_step"]]
-    w = Window.partitionBy(*keys).orderBy("ts")
+    w = Window.partitionBy(*keys, *extra).orderBy("ts")
     b = bars.withColumn("_step", step.cast("long"))
     b = b.withColumn(
         "_bucket", F.floor((F.row_number().over(w) - 1) / F.col("_step")))

@@ -42,21 +42,25 @@ def _as_date(x) -> dt.date:
     return dt.date.fromisoformat(str(x)[:10])
 
 
-def newest_date(bars: DataFrame):
-    """Newest session date held - one scalar, read from the date column
-    only (partition values on a silver scan)."""
-    return bars.agg(F.max("date")).first()[0]
-
-
 def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
-               end: dt.date, source: str) -> tuple[DataFrame, DataFrame]:
+               end: dt.date | None, source: str) -> tuple[DataFrame, DataFrame]:
     """(tagged bars in range, day table with step and factor per
     (symbol, date, src_minutes) kept)."""
-    start = end - dt.timedelta(days=days * 2 + 10)
     cols = BAR_COLS + ["date"]
+    back = days * 2 + 10
+    if end is None:
+        # The newest date of either grain the spec may use, as a one-row
+        # subquery of the same plan: no job runs while it is built.
+        held = bars5.select("date")
+        if source == "1m":
+            held = held.unionByName(bars1.select("date"))
+        last = held.agg(F.max("date").alias("_end"))
+        last_date, first_date = last.scalar(), last.select(F.date_sub("_end", back)).scalar()
+    else:
+        last_date, first_date = F.lit(end), F.lit(end - dt.timedelta(days=back))
 
     def in_range(df, minutes):
-        return (df.where(F.col("date").between(F.lit(start), F.lit(end)))
+        return (df.where((F.col("date") >= first_date) & (F.col("date") <= last_date))
                   .select(*cols).withColumn("src_minutes", F.lit(minutes)))
 
     tagged = in_range(bars5, 5)
@@ -77,7 +81,7 @@ def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int
                            .cast("long")))
     d = d.select("symbol", "date", "src_minutes", "step")
     # J1 factors on the same small table
-    f = action_factors(d.select("symbol", "date"), actions, end)
+    f = action_factors(d.select("symbol", "date"), actions, last_date)
     d = d.join(f, ["symbol", "date"], "left")
     return tagged, d
 
@@ -85,21 +89,18 @@ def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int
 def board(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
           upto=None, symbol: str | None = None) -> DataFrame:
     """Board of `days` sessions ending at `upto` (a date or ISO string;
-    None = the newest session date held at the spec's source grain)."""
+    None = the newest session date held at any grain the spec may use. On an
+    archive, pass the last of `available()` of both grains: a literal date
+    prunes folders when the plan is built)."""
     _d, _target, source = board_spec(days)
     if symbol:
         sym = symbol.upper()
         bars1 = bars1.where(F.col("symbol") == sym)
         bars5 = bars5.where(F.col("symbol") == sym)
-    end = _as_date(upto) if upto is not None else newest_date(bars1 if source == "1m" else bars5)
-    spark = bars1.sparkSession
-    if end is None:
-        return spark.createDataFrame(
-            [], "symbol string, date date, ts long, o double, h double, l double, "
-                "c double, v long, minutes long")
-
+    end = _as_date(upto) if upto is not None else None
     tagged, d = board_days(bars1, bars5, actions, days, end, source)
     b = rescale(tagged.join(d, ["symbol", "date", "src_minutes"]), "factor")
-    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes")).drop("src_minutes")
+    # The fold's groups carry the join's keys and reuse its layout.
+    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes"))
     folded = fold_bars(b, F.col("step"))
     return folded.select("symbol", "date", "ts", "o", "h", "l", "c", "v", "minutes")

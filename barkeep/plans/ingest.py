@@ -3,24 +3,30 @@
     ingest:   land bronze -> parse bars -> merge into silver (per interval)
               -> parse events -> merge into the action store
     rebuild:  read bronze (optionally from a fetch date on) -> parse -> merge
-    publish:  run the gates over the 1m archive; only on a pass copy the
-              checked dates to the destination, never deleting there
+    publish:  run the gates over the archive; only on a pass copy the dates
+              that changed to the destination, never deleting there
+
+A damaged landed file never loses rows unnamed: what was just landed is read
+strictly (the run fails), and a rebuild sets such files aside, whole, and
+returns their names.
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barkeep.operators.checks import assert_passed, run_checks, verdicts
 from barkeep.operators.parse import parse_events, parse_payload
 from barkeep.schema import INTERVALS
 from barkeep.sources.actions import save_actions
-from barkeep.sources.bronze import land_bronze, read_bronze
-from barkeep.sources.silver import (load_bars, merge_into_silver, read_check_summary,
-                                    write_silver)
+from barkeep.sources.bronze import (bronze_quarantine, land_bronze, landed_files, read_bronze,
+                                    readable_bronze)
+from barkeep.sources.silver import (archive_versions, available, current_check_summary, load_bars,
+                                    merge_into_silver, read_silver, write_silver)
 
 
 def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
@@ -34,46 +40,69 @@ def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
     parsed counts (rows per interval, events) without touching silver or
     the action store. With `summary_root`, the gates' kept summary is
     refreshed for the dates each merge touched."""
-    payloads = payloads.persist()
-    try:
-        land_bronze(payloads, bronze_root)
-        # (interval, fetched) of this batch: a few grains x a few fetch days
-        keys = payloads.select("interval", "fetched").distinct().collect()
-        out = {}
-        for iv in sorted({k[0] for k in keys}):
-            days = sorted({k[1] for k in keys if k[0] == iv})
-            batch = read_bronze(spark, bronze_root, iv).where(F.col("fetched").isin(days))
-            bars = parse_payload(batch)
-            out[iv] = bars.count() if dry else merge_into_silver(bars, silver_root, iv,
-                                                                 summary_root=summary_root)
-        events = parse_events(payloads)
+    keyed = Observation()
+    land_bronze(payloads.observe(keyed, F.collect_set(F.struct("interval", "fetched")).alias("keys")), bronze_root)
+    # (interval, fetched) of this batch: a few grains x a few fetch days
+    keys = [(k[0], k[1]) for k in keyed.get["keys"]]
+    out, landed = {}, None
+    for iv in sorted({k[0] for k in keys}):
+        days = sorted({k[1] for k in keys if k[0] == iv})
+        batch = read_bronze(spark, bronze_root, iv).where(F.col("fetched").isin(days))
+        bars = parse_payload(batch)
+        out[iv] = bars.count() if dry else merge_into_silver(bars, silver_root, iv,
+                                                             summary_root=summary_root)
+        landed = batch if landed is None else landed.unionByName(batch)
+    if landed is not None:
+        events = parse_events(landed)
         if dry:
             out["events"] = events.count()
         elif action_store:
             out["actions"] = save_actions(spark, events, action_store)
-        return out
-    finally:
-        payloads.unpersist()
+    return out
+
+
+@dataclass(frozen=True)
+class Rebuilt:
+    """What a rebuild did: days rewritten and bars now in them (on a dry run
+    bars parsed and their days), and the quarantine, a table of (path,
+    symbol, interval, fetched, reason): damaged files and responses that are
+    no chart payload."""
+
+    days: int
+    bars: int
+    quarantine: DataFrame
 
 
 def rebuild_silver(spark: SparkSession, bronze_root: str, silver_root: str,
-                   interval: str, fetched_from=None, dry: bool = False):
-    """Re-derive silver from bronze, no network. With `fetched_from`,
-    responses from that fetch date AND every later one are parsed, so the
-    newest fetch still wins (a partial rebuild is still a merge, X6).
-    `dry` parses only and returns (rows, session days)."""
-    bars = parse_payload(read_bronze(spark, bronze_root, interval, fetched_from))
+                   interval: str, fetched_from=None, dry: bool = False,
+                   summary_root: str | None = None) -> Rebuilt:
+    """Re-derive silver from bronze (both layouts), no network. With
+    `fetched_from`, responses from that fetch date AND every later one are
+    parsed, so the newest fetch still wins (a partial rebuild is still a
+    merge, X6). `dry` parses only. Files that give no response at all, and
+    are not in the quarantine, are an error. With `summary_root`, the gates'
+    kept summary is refreshed."""
+    landed, damaged = readable_bronze(spark, bronze_root, interval, fetched_from)
+    quarantine = damaged.select(
+        "path", F.lit(None).cast("string").alias("symbol"), F.lit(interval).alias("interval"),
+        F.to_date(F.regexp_extract("path", r"/fetched=(\d{4}-\d{2}-\d{2})/", 1)).alias("fetched"), "reason").unionByName(
+        bronze_quarantine(landed).select("path", "symbol", "interval", "fetched", "reason"))
+    bars = parse_payload(landed)
     if dry:
-        r = bars.agg(F.count("*").alias("rows"), F.countDistinct("date").alias("days")).first()
-        return int(r["rows"]), int(r["days"])
-    return merge_into_silver(bars, silver_root, interval)
+        days = bars.groupBy("date").agg(F.count("*").alias("n"))
+        got = days.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    else:
+        got = merge_into_silver(bars, silver_root, interval, summary_root=summary_root)
+    if not got[0] and quarantine.isEmpty() and landed.isEmpty() and not landed_files(spark, bronze_root, interval, fetched_from).isEmpty():
+        raise ValueError("files were landed under %s, but no response could be read" % bronze_root)
+    return Rebuilt(int(got[0]), int(got[1]), quarantine)
 
 
 def rebuild_archive(spark: SparkSession, bronze_root: str, silver_root: str,
-                    intervals=INTERVALS, fetched_from=None, dry: bool = False) -> dict:
-    """S16 for every grain: {interval: (rows, days)} when `dry`, else
-    {interval: (days rewritten, bars in them)}."""
-    return {iv: rebuild_silver(spark, bronze_root, silver_root, iv, fetched_from, dry)
+                    intervals=INTERVALS, fetched_from=None, dry: bool = False,
+                    summary_root: str | None = None) -> dict[str, Rebuilt]:
+    """S16 for every grain."""
+    return {iv: rebuild_silver(spark, bronze_root, silver_root, iv, fetched_from, dry, summary_root)
             for iv in intervals}
 
 
@@ -82,11 +111,12 @@ def check_archive(spark: SparkSession, silver_root: str, as_of=None, only=None,
     """C2 over the whole archive: every gate for every interval, one
     verdict table. Each interval is one scan of silver; with
     `summary_root` (kept by `refresh_check_summary`), the verdicts come from
-    the per-(symbol, date) summary table instead - no bar is read."""
+    the per-(symbol, date) summary table instead, after a comparison with
+    the archive's dates and versions: only dates that differ are read."""
     out = None
     for iv in intervals:
         if summary_root:
-            r = verdicts(read_check_summary(spark, summary_root, iv), iv, as_of=as_of, only=only)
+            r = verdicts(current_check_summary(spark, silver_root, summary_root, iv), iv, as_of=as_of, only=only)
         else:
             r = run_checks(load_bars(spark, silver_root, iv), iv, as_of=as_of, only=only)
         out = r if out is None else out.unionByName(r)
@@ -98,20 +128,28 @@ def publish_if_passed(spark: SparkSession, silver_root: str, dest_root: str,
                       gate_intervals=INTERVALS, summary_root: str | None = None) -> DataFrame:
     """Gate, then copy. Runs every check over every interval in
     `gate_intervals` (the verify step checks the whole archive); raises
-    `ChecksFailed` (nothing copied) on any failure. On a pass the dates of
-    `interval` from `since` on are dynamic-overwritten at the destination;
-    dates not being published are left alone there (never deleted).
-    With `summary_root` the gates read the kept summary, not the bars.
-    Returns the verdict rows."""
+    `ChecksFailed` (nothing copied) on any failure. On a pass those dates of
+    `interval` from `since` on that changed since they were last published
+    (or are not there) are dynamic-overwritten at the destination, which
+    keeps the version of each published date; other dates are left alone
+    there (never deleted). With `summary_root` the gates read the kept
+    summary, brought up to date first. Returns the verdict rows."""
     results = check_archive(spark, silver_root, as_of=as_of, intervals=gate_intervals,
                             summary_root=summary_root)
     assert_passed(results)
-    src = load_bars(spark, silver_root, interval, since=since)
-    write_silver(src, dest_root, interval)
+    record = os.path.join(dest_root, "_published", "interval=%s" % interval)
+    held = archive_versions(spark, silver_root, interval)
+    there = set(available(spark, dest_root, interval))
+    done = {}
+    if there:
+        done = {r["date"]: r["version"] for r in spark.read.schema("version long, date date").parquet(record).collect()}
+    # one value per session date
+    rows = held.where(F.col("date") >= F.lit(str(since)[:10]).cast("date")) if since else held
+    changed = sorted(r["date"] for r in rows.collect() if r["date"] not in there or done.get(r["date"]) != r["version"])
+    if changed:
+        these = F.col("date").isin([F.lit(d) for d in changed])
+        src = read_silver(spark, silver_root).where((F.col("interval") == interval) & these)
+        write_silver(src, dest_root, interval)
+        (held.where(these).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date").parquet(record))
     return results
-
-
-def silver_exists(spark: SparkSession, root: str, interval: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(os.path.join(root, "interval=%s" % interval))
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

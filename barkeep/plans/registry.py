@@ -18,6 +18,7 @@ from barkeep.operators.sessions import (bars_by_symbol_day, last_sessions, lates
                                         sessions, source_fallback)
 from barkeep.plans import bench as B
 from barkeep.plans.board import board
+from barkeep.plans.registry_io import IO_QUERIES
 from barkeep.sources import driver as D
 from barkeep.sources.actions import listed_symbols
 from barkeep.sources.bronze import bronze_quarantine
@@ -27,9 +28,6 @@ from barkeep.sources.silver import archive_stats
 POINT_SYMBOL = "VIEW"
 POINT_DAY = "2024-01-15"
 RESAMPLE_SYMBOL = "CLICK"
-LOAD_SYMBOL = "purchase"          # lower case on purpose: matched upper-cased
-LOAD_SINCE, LOAD_UPTO = "2024-01-08", "2024-01-21"
-SESSION_DAY = "2024-01-10"
 ADJUST_UPTO = "2024-01-31"
 AS_OF = "2024-02-04"
 MORNING_END_M = 750               # a "noon" fetch holds bars before 12:30
@@ -78,19 +76,6 @@ def q_sample_symbol_day(spark, sf):
     return B.sample_symbol_day(_b5(spark, sf))
 
 
-def q_load_bars(spark, sf):
-    b = _b1(spark, sf)
-    return b.where((F.col("symbol") == LOAD_SYMBOL.upper())
-                   & F.col("date").between(F.lit(LOAD_SINCE).cast("date"),
-                                           F.lit(LOAD_UPTO).cast("date"))) \
-            .select("ts", "o", "h", "l", "c", "v")
-
-
-def q_session_bars(spark, sf):
-    return _b5(spark, sf).where(F.col("date") == F.lit(SESSION_DAY).cast("date")) \
-                         .select("symbol", "ts", "o", "h", "l", "c", "v")
-
-
 def q_sessions(spark, sf):
     return sessions(_b1(spark, sf).unionByName(_b5(spark, sf)))
 
@@ -271,8 +256,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bench_resample": q_bench_resample,
     "resample_all": q_resample_all,
     "sample_symbol_day": q_sample_symbol_day,
-    "load_bars": q_load_bars,
-    "session_bars": q_session_bars,
     "sessions": q_sessions,
     "fold_bars_5": q_fold_bars_5,
     "last_sessions_3": q_last_sessions_3,
@@ -311,4 +294,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_checks": q_run_checks,
     "run_checks_day": q_run_checks_day,
     "run_checks_wide": q_run_checks_wide,
-}
+} | IO_QUERIES

@@ -19,7 +19,6 @@ INTERVALS = ("1m", "5m")
 # Quality gates: a session must reach minute 900 (15:00) for at least 95 %
 # of the symbols trading that day; the newest partition may be 3 days old.
 REACH_BY_M = 900
-MIN_REACHING = 0.95
 MIN_REACHING_PCT = 95
 STALE_DAYS = 3
 # Board: about 120 candles per board; specs are
@@ -59,8 +58,14 @@ BAR = T.StructType([
 ])
 BAR_COLS = [f.name for f in BAR.fields]
 
+# Where a stored bar comes from: decides which of two fetches is newer.
+# Kept in silver, hidden by the readers.
+PROVENANCE = ["fetched", "landed_at"]
+
 # Silver as read back, partition columns included.
 SILVER = T.StructType(BAR.fields + [
+    T.StructField("fetched", T.DateType()),
+    T.StructField("landed_at", T.TimestampType()),
     T.StructField("interval", T.StringType()),
     T.StructField("date", T.DateType()),
 ])
@@ -68,14 +73,9 @@ SILVER = T.StructType(BAR.fields + [
 # The headerless CSV spool format, seven bar columns plus session date.
 BAR_CSV = T.StructType(BAR.fields + [T.StructField("d", T.DateType())])
 
-# A landed raw response.
-BRONZE = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("interval", T.StringType()),
-    T.StructField("fetched", T.DateType()),
-    T.StructField("landed_at", T.TimestampType()),
-    T.StructField("payload", T.StringType()),
-])
+# A landed raw response as stored in bulk; interval and fetched come
+# from the folder names.
+LANDED = "symbol string, landed_at timestamp, payload string, interval string, fetched date"
 
 # The upstream chart payload. Split and dividend numbers are kept as
 # strings so their text survives into the action subject.

@@ -3,8 +3,9 @@
 
 Layout: `<root>/interval=<iv>/fetched=<YYYY-MM-DD>/<SYMBOL>.json.gz`
 in the single-writer case, or Spark's own part files when landed in bulk
-(`land_bronze`): one gzip JSON-lines record per response with its symbol
-and landing time. Both are readable by `read_bronze`.
+(`land_bronze`): gzip JSON-lines records with symbol and landing time.
+`read_bronze` reads both. A damaged file fails a read; `readable_bronze`
+sets damaged files aside, whole and by name, and reads the others.
 """
 
 from __future__ import annotations
@@ -14,40 +15,34 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barkeep.schema import PAYLOAD
+from barkeep.schema import LANDED, PAYLOAD
+from barkeep.session import scratch_path
+
+_BULK = "part-*.json.gz"
+#: Every name that does not begin with `part-`.
+_SINGLE = "{[^p]*,p,p[^a]*,pa,pa[^r]*,par,par[^t]*,part,part[^-]*}.json.gz"
 
 
 def land_bronze(payloads: DataFrame, root: str) -> None:
     """Append responses (symbol, interval, fetched, payload[, landed_at])
     as gzip JSON lines partitioned by interval and fetch date. Never
     rewritten; a re-landed key is a new row whose later `landed_at` wins
-    when merged (the same last-write-wins as replacing the file)."""
+    when merged (the same last-write-wins as replacing the file). gzip is
+    not splittable, so the files are sized by rebalancing: a small folder
+    is one file, a large one several of the session's advisory size."""
     df = payloads
     if "landed_at" not in df.columns:
         df = df.withColumn("landed_at", F.current_timestamp())
-    # gzip is not splittable: a few sized files per folder, each a
-    # contiguous symbol range, rather than one small file per task per folder
-    from barkeep.sources.silver import _estimated_bytes, partitions_for
     rows = df.select("symbol", "interval", "fetched", "landed_at", "payload")
-    keys = ("interval", "fetched", "symbol")
-    n = partitions_for(_estimated_bytes(rows),
-                       int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(n, *keys) if n else rows.repartitionByRange(*keys)
-    (rows.write.mode("append").option("compression", "gzip")
+    (rows.hint("rebalance", "interval", "fetched")
+         .write.mode("append").option("compression", "gzip")
          .partitionBy("interval", "fetched").json(root))
 
 
-_LANDED = "symbol string, landed_at timestamp, payload string, interval string, fetched date"
-
-
-def read_bronze(spark: SparkSession, root: str, interval: str | None = None,
-                fetched_from=None) -> DataFrame:
-    """Landed responses; `interval` and `fetched_from` (this fetch date
-    and every later one, so a partial rebuild still lets the newest fetch
-    win - X6) are partition filters. A damaged file is skipped, not fatal
-    (`unreadable_files` names it)."""
-    df = (spark.read.schema(_LANDED).option("basePath", root)
-               .option("ignoreCorruptFiles", "true").json(root))
+def _narrowed(df: DataFrame, interval: str | None, fetched_from) -> DataFrame:
+    """`interval` and `fetched_from` (this fetch date and every later one, so
+    a partial rebuild still lets the newest fetch win - X6) as partition
+    filters."""
     if interval:
         df = df.where(F.col("interval") == interval)
     if fetched_from:
@@ -56,31 +51,93 @@ def read_bronze(spark: SparkSession, root: str, interval: str | None = None,
     return df
 
 
+def read_bronze(spark: SparkSession, root: str, interval: str | None = None,
+                fetched_from=None, skip_damaged: bool = False) -> DataFrame:
+    """Landed responses of both layouts with the `path` each came from.
+    A damaged file fails the read. With `skip_damaged` it gives what can be
+    read of it: only for a caller that then removes its rows by path."""
+    bulk = (spark.read.schema(LANDED).option("basePath", root).option("pathGlobFilter", _BULK)
+                 .option("ignoreCorruptFiles", str(skip_damaged).lower()).json(root))
+    bulk = _narrowed(bulk, interval, fetched_from).select(
+        "symbol", "landed_at", "payload", F.col("_metadata.file_path").alias("path"), "interval", "fetched")
+    return bulk.unionByName(read_bronze_files(spark, root, interval, fetched_from, skip_damaged))
+
+
 def read_bronze_files(spark: SparkSession, root: str, interval: str | None = None,
-                      fetched_from=None) -> DataFrame:
+                      fetched_from=None, skip_damaged: bool = False) -> DataFrame:
     """S2 for the one-file-per-response layout: each `<SYMBOL>.json.gz` is
     one record (whole-file text, gzip decoded by extension); `interval` and
-    `fetched` come from the folder names by partition discovery, so their
-    filters prune folders; the symbol is the file name (Y11). A truncated
-    or non-gzip file is skipped rather than failing the read, as the copy
-    of last resort must stay readable; `unreadable_files` names it."""
-    df = (spark.read.option("wholetext", "true")
-               .option("pathGlobFilter", "*.json.gz")
-               .option("ignoreCorruptFiles", "true")      # skipped here, named by unreadable_files
-               .text(root))
-    if interval:
-        df = df.where(F.col("interval") == interval)
-    if fetched_from:
-        d = fetched_from.isoformat() if isinstance(fetched_from, dt.date) else fetched_from
-        df = df.where(F.col("fetched") >= F.lit(d).cast("date"))
+    `fetched` come from the folder names, so their filters prune folders;
+    the symbol is the file name (Y11), the landing time the file's."""
+    df = (spark.read.schema("value string, interval string, fetched date").option("wholetext", "true")
+               .option("basePath", root).option("pathGlobFilter", _SINGLE)
+               .option("ignoreCorruptFiles", str(skip_damaged).lower()).text(root))
     name = F.col("_metadata.file_name")
-    return df.select(
+    return _narrowed(df, interval, fetched_from).select(
         F.regexp_replace(name, r"\.json\.gz$", "").alias("symbol"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
-        F.col("value").alias("payload"),
-        F.col("_metadata.file_path").alias("path"),
-        F.col("interval").cast("string").alias("interval"),
-        F.col("fetched").cast("date").alias("fetched"))
+        F.col("value").alias("payload"), F.col("_metadata.file_path").alias("path"), "interval", "fetched")
+
+
+def landed_files(spark: SparkSession, root: str, interval: str | None = None, fetched_from=None) -> DataFrame:
+    """(path, interval, fetched) of every landed file, from the listing."""
+    df = (spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.json.gz")
+               .option("recursiveFileLookup", "false").load(root))
+    return _narrowed(df.withColumns({"interval": F.col("interval").cast("string"), "fetched": F.col("fetched").cast("date")}),
+                     interval, fetched_from)
+
+
+def damaged_files(spark: SparkSession, root: str, interval: str | None = None, fetched_from=None) -> DataFrame:
+    """S3: (path, reason) of every landed file that is no whole gzip stream.
+    Each file is decompressed to its end, in pieces that are thrown away, so
+    the stream's own length and checksum vouch for every byte."""
+    def check(batches):
+        import zlib
+
+        import pyarrow as pa
+        for b in batches:
+            bad = []
+            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+                reason, rest = "", content.as_buffer().to_pybytes()
+                try:
+                    while rest:  # a file may hold several streams
+                        z = zlib.decompressobj(31)
+                        data = rest
+                        while data and not z.eof:
+                            z.decompress(data, 1 << 20)
+                            data = z.unconsumed_tail
+                        if not z.eof:
+                            raise EOFError("file ends before its end")
+                        rest = z.unused_data
+                    if not len(content.as_buffer()):
+                        reason = "empty file"
+                except (zlib.error, EOFError) as e:
+                    reason = str(e)
+                if reason:
+                    bad.append((path, reason))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in bad], pa.string()) for i in (0, 1)], ["path", "reason"])
+
+    return landed_files(spark, root, interval, fetched_from).select("path", "content").mapInArrow(
+        check, "path string, reason string")
+
+
+def _plain(path):
+    """Paths differ in `file:/x` and `file:///x` between readers."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def readable_bronze(spark: SparkSession, root: str, interval: str | None = None,
+                    fetched_from=None) -> tuple[DataFrame, DataFrame]:
+    """(responses of whole files, damaged files by path and reason). Rows of
+    a damaged file are all left out, never a part of them kept. The names are
+    written once in the shared folder."""
+    path = scratch_path(spark, "bronze-damaged")
+    damaged_files(spark, root, interval, fetched_from).write.parquet(path)
+    damaged = spark.read.schema("path string, reason string").parquet(path)
+    if damaged.isEmpty():
+        return read_bronze(spark, root, interval, fetched_from), damaged
+    rows = read_bronze(spark, root, interval, fetched_from, skip_damaged=True).withColumn("_path", _plain(F.col("path")))
+    return rows.join(damaged.select(_plain(F.col("path")).alias("_path")), "_path", "left_anti").drop("_path"), damaged
 
 
 def bronze_quarantine(bronze: DataFrame) -> DataFrame:
@@ -92,15 +149,3 @@ def bronze_quarantine(bronze: DataFrame) -> DataFrame:
         F.col("_p").isNull() | F.col("_p.chart").isNull()
     ).select(*cols, F.when(F.col("payload").isNull() | (F.trim("payload") == ""),
                            F.lit("empty")).otherwise(F.lit("not a chart payload")).alias("reason"))
-
-
-def unreadable_files(spark: SparkSession, root: str, readable: DataFrame) -> DataFrame:
-    """S3, truncated gzip: `read_bronze_files` skips a corrupt file;
-    listing the files (metadata only, no content) and anti-joining the
-    paths that were read names it.
-    `readable` must be an unfiltered read of the same `root`."""
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz")
-                   .option("recursiveFileLookup", "true").load(root)
-                   .select(F.col("path")))
-    seen = readable.select(F.col("path")).distinct()
-    return listed.join(seen, "path", "left_anti")

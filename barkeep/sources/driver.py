@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from barkeep.functions.timecols import epoch_seconds, floor_to, session_date
 from barkeep.operators.candles import ticks_to_bars
-from barkeep.schema import interval_minutes
+from barkeep.schema import PAYLOAD, interval_minutes
 from barkeep.session import table_path
 
 
@@ -279,3 +279,28 @@ def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.substring(F.col("payload"), 1, (F.length("payload") / 2).cast("int"))
     return p.withColumn("payload", F.when(F.dayofmonth("fetched") == 7, half)
                         .otherwise(F.col("payload")))
+
+
+def dirty_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with what a response may lack: every seventh minute has no
+    close, volumes are null in every third minute, the volume array is one
+    short, days divisible by 5 have no low array at all, and opens come with
+    a third decimal."""
+    minute = lambda x: F.floor(x["ts"] / 60)
+    p = payloads(spark, sf_dir).select("symbol", "interval", "fetched", "landed_at", F.from_json("payload", PAYLOAD).alias("p"))
+    node = F.col("p.chart.result")[0]
+    quote = node["indicators"]["quote"][0]
+    rows = F.arrays_zip(node["timestamp"].alias("ts"), quote["open"].alias("o"), quote["high"].alias("h"),
+                        quote["low"].alias("l"), quote["close"].alias("c"), quote["volume"].alias("v"))
+    p = p.withColumn("rows", rows.cast("array<struct<ts:bigint,o:double,h:double,l:double,c:double,v:double>>"))
+    volume = F.transform("rows", lambda x: F.when(minute(x) % 3 != 0, x["v"]))
+    low = F.when(F.dayofmonth("fetched") % 5 != 0, F.transform("rows", lambda x: x["l"]))
+    result = F.struct(
+        F.transform("rows", lambda x: x["ts"]).alias("timestamp"),
+        F.struct(F.array(F.struct(
+            F.transform("rows", lambda x: F.round(x["o"] + 0.003, 3)).alias("open"),
+            F.transform("rows", lambda x: x["h"]).alias("high"), low.alias("low"),
+            F.transform("rows", lambda x: F.when(minute(x) % 7 != 0, x["c"])).alias("close"),
+            F.slice(volume, F.lit(1), F.greatest(F.size("rows") - 1, F.lit(0))).alias("volume"))).alias("quote")).alias("indicators"))
+    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"})
+    return p.select("symbol", "interval", "fetched", "landed_at", body.alias("payload"))

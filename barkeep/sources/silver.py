@@ -11,13 +11,12 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barkeep.operators.checks import check_summary
 from barkeep.operators.merge import merge_bars
-from barkeep.schema import BAR_COLS, BAR_CSV, SILVER
-from barkeep.session import scratch_path
+from barkeep.schema import BAR_COLS, BAR_CSV, PROVENANCE, SILVER
 
 # Parquet row-group size used on write: small enough that a day holding
 # every symbol splits into many row groups the symbol filter can skip.
@@ -56,7 +55,7 @@ def load_bars(spark: SparkSession, root: str, interval: str,
     date range (inclusive). The symbol predicate is pushed to the parquet
     reader; the date predicates prune directories. No ORDER BY here: sort
     at the edge (`.orderBy("ts")`) only when a caller needs order."""
-    df = read_silver(spark, root).where(F.col("interval") == interval)
+    df = read_silver(spark, root).drop(*PROVENANCE).where(F.col("interval") == interval)
     if symbol:
         df = df.where(F.col("symbol") == symbol.upper())
     if since:
@@ -84,49 +83,20 @@ def register_views(spark: SparkSession, root: str) -> None:
         load_bars(spark, root, iv).createOrReplaceTempView("bars%s" % iv.rstrip("m"))
 
 
-# Target size of one silver file (compressed), for sizing range partitions.
-FILE_BYTES = 256 * 1024 * 1024
-
-
-def partitions_for(size_bytes: int, base: int, target: int = FILE_BYTES,
-                   cap: int = 200_000) -> int | None:
-    """Range partitions for a write of `size_bytes`: None (let AQE size
-    them) when the default `base` count already covers it, else
-    ceil(size / target), capped. AQE only merges ranges, never splits
-    them, so a large write must start with enough."""
-    if size_bytes <= 0 or size_bytes >= 1 << 60:       # unknown estimate
-        return None
-    n = -(-size_bytes // target)
-    return None if n <= base else min(n, cap)
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - an estimate only
-        return 0
-
-
-def write_silver(bars: DataFrame, root: str, interval: str,
-                 files_per_day: int | None = None) -> None:
+def write_silver(bars: DataFrame, root: str, interval: str) -> None:
     """S8 sink: write into `<root>/interval=<interval>/`, replacing only the
-    dates present in `bars` (dynamic partition overwrite).
-
-    Range-partitioned on (date, symbol, ts): a day larger than one task's
-    share is split across several files, each holding a contiguous symbol
-    range sorted by (symbol, ts); a hot symbol is split by ts. The range
-    count comes from the optimizer's size estimate of the input (about
-    one range per 256 MB) when that exceeds the default; smaller writes
-    let AQE coalesce the ranges, so a small day is one file and a huge one
-    many. Writing one interval at a time keeps the sort (H6).
+    dates present in `bars` (dynamic partition overwrite, which stages the
+    new files and replaces the dates when the job commits).
+
+    Rebalanced by date: adaptive execution puts small days into one file
+    each and splits a large day over several, at the session's advisory
+    partition size. Each file is sorted by (symbol, ts). Writing one
+    interval at a time keeps the sort (H6).
     """
-    b = bars.select(*BAR_COLS, "date")
-    keys = ("date", "symbol", "ts")
-    n = files_per_day or partitions_for(
-        _estimated_bytes(b), int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    b = b.repartitionByRange(n, *keys) if n else b.repartitionByRange(*keys)
-    out = b.sortWithinPartitions(*keys)
-    (out.write.mode("overwrite")
+    origin = [F.col(c) if c in bars.columns else F.lit(None).cast(SILVER[c].dataType).alias(c) for c in PROVENANCE]
+    b = bars.select(*BAR_COLS, *origin, "date")
+    (b.hint("rebalance", "date").sortWithinPartitions("date", "symbol", "ts")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .option("parquet.block.size", ROW_GROUP_BYTES)
@@ -165,43 +135,29 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str,
     """G1 + S8: merge a batch of parsed bars into silver. Returns
     (days rewritten, bars now in those days).
 
-    Existing rows are read only for the dates the batch touches. The merged
-    result is first written to the shared checkpoint folder (lineage cut:
-    a lost executor during the final write re-reads durable files, never
-    a half-replaced partition), then dynamic-overwrites those dates. When
-    the grain holds nothing yet, nothing of the target is read, and the
-    merge is written straight through. With `summary_root`, the gates'
-    kept summary is refreshed for the touched dates afterwards.
+    Existing rows are read only for the dates the batch touches, and one
+    write replaces those dates when it commits: no task reads a replaced
+    partition, and a lost executor's tasks read the old files again. When
+    the grain holds nothing yet, the dates are not asked for beforehand.
+    With `summary_root`, the gates' kept summary is refreshed for the
+    touched dates afterwards.
     """
     spark = incoming.sparkSession
-    incoming = incoming.persist()      # read twice: its dates, then the merge
-    try:
+    existing = None
+    if _exists(spark, os.path.join(root, "interval=%s" % interval)):
         days = touched_dates(incoming)
         if not days:
             return 0, 0
-        part_dir = os.path.join(root, "interval=%s" % interval)
-        existing = None
-        if _exists(spark, part_dir):
-            existing = (load_bars(spark, root, interval)
-                        .where(F.col("date").isin([F.lit(d) for d in days])))
-        merged = merge_bars(incoming, existing)
-        if existing is None:
-            # nothing of the target is read: write straight through (the
-            # job commit is all-or-nothing for the dates it writes)
-            write_silver(merged, root, interval)
-            if summary_root:
-                refresh_check_summary(incoming.sparkSession, root, summary_root, interval, days)
-            return len(days), load_bars(spark, root, interval).where(
-                F.col("date").isin([F.lit(d) for d in days])).count()
-        stage = scratch_path(spark, "merge-%s" % interval)
-        merged.write.mode("overwrite").parquet(stage)
-    finally:
-        incoming.unpersist()
-    staged = spark.read.parquet(stage)
-    write_silver(staged, root, interval)
+        existing = read_silver(spark, root).where(
+            (F.col("interval") == interval) & F.col("date").isin([F.lit(d) for d in days]))
+    written = Observation()
+    merged = merge_bars(incoming, existing, provenance=True).observe(
+        written, F.count(F.lit(1)).alias("bars"), F.collect_set("date").alias("days"))
+    write_silver(merged, root, interval)
+    got = written.get
     if summary_root:
-        refresh_check_summary(spark, root, summary_root, interval, days)
-    return len(days), staged.count()
+        refresh_check_summary(spark, root, summary_root, interval, sorted(got["days"]))
+    return len(got["days"]), got["bars"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -213,12 +169,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def archive_stats(bars: DataFrame) -> DataFrame:
     """Per interval, day partitions and bars held."""
-    return bars.groupBy("interval").agg(
-        F.countDistinct("date").alias("days"),
-        F.count("*").alias("bars"),
-        F.countDistinct("symbol").alias("symbols"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"))
+    # Counts per (interval, date, symbol) first: distinct counting would
+    # send every bar through the shuffle once per counted column.
+    cells = bars.groupBy("interval", "date", "symbol").agg(F.count("*").alias("n"))
+    days = cells.groupBy("interval", "date").agg(F.sum("n").alias("n")).groupBy("interval").agg(
+        F.count("*").alias("days"), F.sum("n").alias("bars"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    symbols = cells.groupBy("interval", "symbol").agg(F.lit(1)).groupBy("interval").agg(F.count("*").alias("symbols"))
+    return days.join(symbols, "interval").select("interval", "days", "bars", "symbols", "first_date", "last_date")
 
 
 def archive_bytes(spark: SparkSession, root: str) -> DataFrame:
@@ -231,7 +189,22 @@ def archive_bytes(spark: SparkSession, root: str) -> DataFrame:
 
 
 _SUMMARY = ("symbol string, n long, n_ts int, last_m int, vol long, bad long, nonpos long, "
-            "misplaced long, date date")
+            "misplaced long, version long, date date")
+
+
+def archive_versions(spark: SparkSession, root: str, interval: str) -> DataFrame:
+    """(date, version) of every session date held: a hash of its files'
+    names and sizes, from the listing alone. A rewritten date has another
+    version, as file names are unique to a write."""
+    path = os.path.join(root, "interval=%s" % interval)
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "date date, version long")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                  .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    day = F.to_date(F.nullif(F.regexp_extract("path", r"/date=(\d{4}-\d{2}-\d{2})/", 1), F.lit("")))
+    name = F.xxhash64(F.substring_index("path", "/", -1), "length")
+    return files.select(day.alias("date"), name.alias("h")).where("date is not null").groupBy("date").agg(
+        F.expr("bit_xor(h)").alias("version"))
 
 
 def read_check_summary(spark: SparkSession, summary_root: str, interval: str) -> DataFrame:
@@ -246,12 +219,31 @@ def refresh_check_summary(spark: SparkSession, silver_root: str, summary_root: s
                           interval: str, dates) -> None:
     """Recompute the check summary for `dates` from silver (only those
     partitions are read) and replace just those dates in the kept summary
-    (dynamic overwrite). Call it with the dates a merge touched: the
-    nightly gates then cost the new data, not the archive."""
+    (dynamic overwrite), marked with the version of the date it was made
+    from. Call it with the dates a merge touched: the nightly gates then
+    cost the new data, not the archive."""
     if not dates:
         return
+    versions = archive_versions(spark, silver_root, interval)
     bars = load_bars(spark, silver_root, interval).where(
         F.col("date").isin([F.lit(d) for d in dates]))
-    (check_summary(bars).repartition("date").write.mode("overwrite")
+    (check_summary(bars).join(versions, "date").hint("rebalance", "date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("date")
         .parquet(os.path.join(summary_root, "interval=%s" % interval)))
+
+
+def current_check_summary(spark: SparkSession, silver_root: str, summary_root: str,
+                          interval: str) -> DataFrame:
+    """The kept summary of exactly what the archive holds now: dates whose
+    version differs, or that it lacks, are recomputed first, and dates the
+    archive no longer holds are left out. So a gate that reads it never
+    passes a bar it has not seen."""
+    held = archive_versions(spark, silver_root, interval)
+    kept = read_check_summary(spark, summary_root, interval)
+    known = kept.groupBy("date").agg(F.max("version").alias("known"), F.min("version").alias("least"))
+    stale = held.join(known, "date", "left").where(
+        F.col("known").isNull() | (F.col("known") != F.col("version")) | (F.col("least") != F.col("version")))
+    # one value per session date
+    refresh_check_summary(spark, silver_root, summary_root, interval,
+                          sorted(r[0] for r in stale.select("date").collect()))
+    return read_check_summary(spark, summary_root, interval).join(held.select("date"), "date", "left_semi")

@@ -4,8 +4,12 @@ New landed responses are picked up as a file stream over the bronze
 folder; each micro-batch is parsed and merged into silver with the same
 newest-wins merge as a batch rebuild. The merge is idempotent, so a
 replayed micro-batch (after a driver or executor loss) changes nothing;
-late data is always accepted - no watermark, no state store. Progress is
-checkpointed under the cluster's shared `spark.checkpoint.dir`.
+late data is always accepted - no watermark, no state store. Bars keep the
+fetch they came from in silver, so the answer does not depend on how the
+files fall into micro-batches. A damaged file stops the query, which names
+it, and its micro-batch is not recorded as done; `readable_bronze` and
+`rebuild_silver` set such files aside. Progress is checkpointed under the
+cluster's shared `spark.checkpoint.dir`.
 """
 
 from __future__ import annotations
@@ -16,18 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barkeep.operators.parse import parse_payload
+from barkeep.schema import LANDED
 from barkeep.session import ensure_checkpoint_dir
 from barkeep.sources.silver import merge_into_silver
 
-_LANDED = "symbol string, landed_at timestamp, payload string, interval string, fetched date"
-
 
 def bronze_stream(spark: SparkSession, bronze_root: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed responses as a stream (JSON lines, partition columns from the
     interval=/fetched= folders)."""
-    r = (spark.readStream.schema(_LANDED).option("basePath", bronze_root)
-              .option("ignoreCorruptFiles", "true"))
+    r = spark.readStream.schema(LANDED).option("basePath", bronze_root).option("ignoreCorruptFiles", "false")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(bronze_root)
@@ -45,14 +47,10 @@ def stream_merge(spark: SparkSession, bronze_root: str, silver_root: str,
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream", name)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # parsed once per micro-batch, reused for both grains
-        bars = parse_payload(batch).persist()
-        try:
-            for iv in ("1m", "5m"):
-                merge_into_silver(bars.where(bars["interval"] == iv), silver_root, iv,
-                                  summary_root=summary_root)
-        finally:
-            bars.unpersist()
+        # every grain of the batch, a few values
+        for (iv,) in sorted(batch.select("interval").distinct().collect()):
+            merge_into_silver(parse_payload(batch.where(batch["interval"] == iv)), silver_root, iv,
+                              summary_root=summary_root)
 
     w = (bronze_stream(spark, bronze_root, max_files_per_trigger)
          .writeStream.queryName(name).option("checkpointLocation", ckpt)

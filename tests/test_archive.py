@@ -65,16 +65,17 @@ def test_silver_roundtrip_sorted_and_pruned(spark, make_bars, scratch):
         for m in range(5):
             rows.append((sym, "2026-08-18", "10:%02d" % (4 - m), 1, 1, 1, 1, 1))
     rows.append(("ACC", "2026-08-19", "10:00", 1, 1, 1, 1, 1))
-    write_silver(make_bars(rows), root, "1m", files_per_day=2)
+    write_silver(make_bars(rows), root, "1m")
     day_dir = os.path.join(root, "interval=1m", "date=2026-08-18")
     files = sorted(f for f in os.listdir(day_dir) if f.endswith(".parquet"))
+    assert len(files) == 1                        # a small day is one file
     keys = []
     for f in files:
         t = pq.read_table(os.path.join(day_dir, f), columns=["symbol", "ts"]).to_pylist()
         k = [(r["symbol"], r["ts"]) for r in t]
         assert k == sorted(k)                     # each file sorted by (symbol, ts)
         keys += k
-    assert sorted(keys) == keys                   # files cover contiguous symbol ranges
+    assert len(keys) == 15
     one = load_bars(spark, root, "1m", symbol="acc", since="2026-08-19", upto="2026-08-19")
     assert one.count() == 1
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -133,8 +134,9 @@ def test_ingest_rebuild_stream(spark, scratch):
     assert got == [("INFY", 20.0), ("TCS", 10.0), ("TCS", 50.0), ("TCS", 51.0)]
     # a rebuild from bronze alone gives the same archive
     silver2 = os.path.join(scratch, "silver2")
-    assert rebuild_silver(spark, bronze, silver2, "1m", dry=True) == (5, 1)
-    assert rebuild_archive(spark, bronze, silver2, intervals=("1m",), dry=True) == {"1m": (5, 1)}
+    dry = rebuild_silver(spark, bronze, silver2, "1m", dry=True)
+    assert (dry.days, dry.bars, dry.quarantine.count()) == (1, 5, 0)
+    assert rebuild_archive(spark, bronze, silver2, intervals=("1m",), dry=True)["1m"].bars == 5
     rebuild_silver(spark, bronze, silver2, "1m")
     same = sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver2, "1m").collect())
     assert same == sorted((r.symbol, r.ts, r.o) for r in load_bars(spark, silver, "1m").collect())
@@ -244,10 +246,128 @@ def test_reland_same_key_and_partial_rebuild(spark, scratch):
     assert [r.o for r in load_bars(spark, silver3, "1m").collect()] == [20.0]
 
 
-def test_range_partitions_sized_from_estimate():
-    from barkeep.sources.silver import FILE_BYTES, partitions_for
-    assert partitions_for(10 << 20, 200) is None                   # small: AQE sizes it
-    assert partitions_for(100 * FILE_BYTES, 200) is None           # default covers it
-    assert partitions_for(1000 * FILE_BYTES + 1, 200) == 1001      # large: one range per 256 MB
-    assert partitions_for(100 << 40, 200) == 200_000               # 100 TB: capped
-    assert partitions_for(0, 200) is None and partitions_for(1 << 62, 200) is None
+def test_large_day_splits_small_day_is_one_file(spark, make_bars, scratch):
+    """One code path: adaptive execution sizes the files of a date."""
+    root = os.path.join(scratch, "silver")
+    big = spark.range(200_000).select(
+        F.concat(F.lit("S"), (F.col("id") % 997).cast("string")).alias("symbol"),
+        F.col("id").alias("ts"), *[F.rand(i).alias(c) for i, c in enumerate("ohlc")],
+        F.col("id").alias("v"), F.lit("2026-08-18").cast("date").alias("date"))
+    small = make_bars([("A", "2026-08-19", "10:00", 1, 1, 1, 1, 1)])
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "512k")
+    try:
+        write_silver(big.repartition(8).unionByName(small), root, "1m")
+    finally:
+        spark.conf.set(key, before)
+    files = lambda d: [f for f in os.listdir(os.path.join(root, "interval=1m", "date=" + d)) if f.endswith(".parquet")]
+    assert len(files("2026-08-18")) > 1 and len(files("2026-08-19")) == 1
+    for f in files("2026-08-18"):
+        t = pq.read_table(os.path.join(root, "interval=1m", "date=2026-08-18", f), columns=["symbol", "ts"]).to_pylist()
+        k = [(r["symbol"], r["ts"]) for r in t]
+        assert k == sorted(k)
+
+
+def test_truncated_landed_file_is_named_and_left_out_whole(spark, scratch):
+    bronze, silver = os.path.join(scratch, "bronze"), os.path.join(scratch, "silver")
+    for day in ("2026-08-18", "2026-08-19"):
+        rows = [("S%03d" % i, "1m", day, _payload(day, ["10:00", "10:01"], i)) for i in range(300)]
+        land_bronze(_bronze_df(spark, rows), bronze)
+    folder = os.path.join(bronze, "interval=1m", "fetched=2026-08-19")
+    name = next(f for f in os.listdir(folder) if f.endswith(".json.gz"))
+    path = os.path.join(folder, name)
+    with open(path, "rb") as f:
+        whole = f.read()
+    with open(path, "wb") as f:
+        f.write(whole[:len(whole) // 2])
+    for side in os.listdir(folder):
+        if side.endswith(".crc"):
+            os.unlink(os.path.join(folder, side))
+    with pytest.raises(Exception):
+        read_bronze(spark, bronze, "1m").select(F.length("payload")).collect()       # strict reads fail
+    done = rebuild_silver(spark, bronze, silver, "1m")
+    bad = done.quarantine.collect()
+    assert len(bad) == 1 and bad[0].path.endswith(name) and bad[0].fetched == dt.date(2026, 8, 19)
+    assert {r.date.isoformat() for r in load_bars(spark, silver, "1m").select("date").distinct().collect()} == {"2026-08-18"}
+    assert load_bars(spark, silver, "1m").count() == done.bars == 600
+    with pytest.raises(Exception):
+        stream_merge(spark, bronze, os.path.join(scratch, "s2"), name="damaged",
+                     checkpoint=os.path.join(scratch, "ck-damaged")).awaitTermination(120)
+
+
+def test_rebuild_reads_single_files_and_fails_when_nothing_is_read(spark, scratch):
+    import gzip
+    bronze = os.path.join(scratch, "bronze")
+    folder = os.path.join(bronze, "interval=1m", "fetched=2026-08-18")
+    os.makedirs(folder)
+    for sym in ("TCS", "PARTY", "part"):          # names that look like bulk files
+        with gzip.open(os.path.join(folder, sym + ".json.gz"), "wt") as f:
+            f.write(_payload("2026-08-18", ["10:00"], 10))
+    with open(os.path.join(folder, "BAD.json.gz"), "wb") as f:
+        f.write(gzip.compress(b"x" * 500)[:12])
+    done = rebuild_silver(spark, bronze, os.path.join(scratch, "silver"), "1m")
+    assert (done.days, done.bars) == (1, 3)
+    assert [r.path.rsplit("/", 1)[1] for r in done.quarantine.collect()] == ["BAD.json.gz"]
+
+
+def test_newest_fetch_wins_in_every_order(spark, make_bars, scratch):
+    import itertools
+    base = make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 5), ("B", "2026-08-18", "10:00", 1, 1, 1, 1, 5)])
+    def fetch(day, price, at="12:00:00"):
+        return base.select("symbol", "ts", *[F.lit(float(price)).alias(c) for c in "ohlc"], "v", "date",
+                           F.lit(day).cast("date").alias("fetched"),
+                           F.lit("%s %s" % (day, at)).cast("timestamp").alias("landed_at"))
+    batches = [fetch("2026-08-18", 10), fetch("2026-08-19", 20), fetch("2026-08-19", 30, "18:00:00")]
+    for i, order in enumerate(itertools.permutations(batches)):
+        root = os.path.join(scratch, "silver%d" % i)
+        for b in order:
+            merge_into_silver(b, root, "1m")
+        assert {(r.symbol, r.o) for r in load_bars(spark, root, "1m").collect()} == {("A", 30.0), ("B", 30.0)}
+        assert "fetched" not in load_bars(spark, root, "1m").columns
+
+
+def test_stream_answer_does_not_depend_on_batching(spark, scratch):
+    bronze = os.path.join(scratch, "bronze")
+    for i, (fetched, base) in enumerate((("2026-08-20", 30), ("2026-08-18", 10), ("2026-08-19", 20))):
+        for iv in ("1m", "15m"):                  # any interval, not only the two stored ones
+            land_bronze(_bronze_df(spark, [("tcs", iv, fetched, _payload("2026-08-18", ["10:00"], base))]), bronze)
+    got = []
+    for n in (1, None):
+        silver = os.path.join(scratch, "silver%s" % n)
+        stream_merge(spark, bronze, silver, name="by%s" % n, checkpoint=os.path.join(scratch, "ck%s" % n),
+                     max_files_per_trigger=n).awaitTermination(180)
+        got.append({iv: [r.o for r in load_bars(spark, silver, iv).collect()] for iv in ("1m", "15m")})
+    assert got[0] == got[1] == {"1m": [30.0], "15m": [30.0]}
+
+
+def test_gates_never_trust_a_stale_or_partial_summary(spark, make_bars, scratch):
+    from barkeep.sources.silver import refresh_check_summary
+    silver, summary, dest = (os.path.join(scratch, n) for n in ("silver", "summary", "dest"))
+    rows = [(s, d, "15:%02d" % m, 1, 1, 1, 1, 1) for s in ("A", "B") for d in ("2026-08-17", "2026-08-18") for m in (0, 1)]
+    for iv in ("1m", "5m"):
+        write_silver(make_bars(rows), silver, iv)
+    refresh_check_summary(spark, silver, summary, "1m", [dt.date(2026, 8, 17)])      # partial
+    res = publish_if_passed(spark, silver, dest, as_of="2026-08-19", summary_root=summary)
+    assert all(r.ok for r in res.collect()) and load_bars(spark, dest, "1m").count() == 8
+    stamp = lambda d: sorted(os.listdir(os.path.join(dest, "interval=1m", "date=" + d)))
+    before = stamp("2026-08-17"), stamp("2026-08-18")
+    write_silver(make_bars([("A", "2026-08-18", "15:00", 2, 2, 2, 2, 1), ("B", "2026-08-18", "15:00", 2, 2, 2, 2, 1)]), silver, "1m")
+    publish_if_passed(spark, silver, dest, as_of="2026-08-19", summary_root=summary)
+    after = stamp("2026-08-17"), stamp("2026-08-18")
+    assert before[0] == after[0] and before[1] != after[1]                           # changed dates only
+    assert load_bars(spark, dest, "1m").count() == 6
+    write_silver(make_bars([("A", "2026-08-18", "15:00", -2, 2, -2, 2, 1), ("B", "2026-08-18", "15:00", 2, 2, 2, 2, 1)]), silver, "1m")
+    with pytest.raises(ChecksFailed):                                                # stale
+        publish_if_passed(spark, silver, dest, as_of="2026-08-19", summary_root=summary)
+
+
+def test_rebuild_leaves_no_stale_summary(spark, scratch):
+    from barkeep.plans.ingest import check_archive
+    bronze, silver, summary = (os.path.join(scratch, n) for n in ("bronze", "silver", "summary"))
+    land_bronze(_bronze_df(spark, [("tcs", "1m", "2026-08-18", _payload("2026-08-18", ["15:00"], 10))]), bronze)
+    rebuild_silver(spark, bronze, silver, "1m", summary_root=summary)
+    land_bronze(_bronze_df(spark, [("tcs", "1m", "2026-08-19", _payload("2026-08-18", ["15:00"], -10))]), bronze)
+    rebuild_silver(spark, bronze, silver, "1m")                                      # without the summary
+    got = {r.check: r.ok for r in check_archive(spark, silver, intervals=("1m",), summary_root=summary).collect()}
+    assert got["prices positive"] is False

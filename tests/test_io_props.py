@@ -14,7 +14,7 @@ from barkeep.operators.parse import parse_payload
 from barkeep.plans.board import board
 from barkeep.schema import ACTION
 from barkeep.sources.actions import read_action_feed
-from barkeep.sources.bronze import read_bronze_files, unreadable_files
+from barkeep.sources.bronze import damaged_files, read_bronze_files, readable_bronze
 
 
 def _payload(day, times, base):
@@ -34,14 +34,15 @@ def test_one_file_per_response_layout(spark, scratch):
             json.dump(_payload("2026-08-18", ["10:00", "10:01"], base), f)
     with open(os.path.join(d, "BAD.json.gz"), "wb") as f:          # truncated transfer
         f.write(gzip.compress(b'{"chart": {"result": []}}' * 50)[:20])
-    landed = read_bronze_files(spark, root, "1m", fetched_from="2026-08-18").cache()
-    plan = landed._jdf.queryExecution().executedPlan().toString()
+    files = read_bronze_files(spark, root, "1m", fetched_from="2026-08-18")
+    plan = files._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "fetched" in plan
+    landed, _ = readable_bronze(spark, root, "1m", fetched_from="2026-08-18")
     assert sorted(r.symbol for r in landed.collect()) == ["INFY", "TCS"]
     bars = parse_payload(landed)
     assert sorted((r.symbol, r.o) for r in bars.collect()) == [
         ("INFY", 20.0), ("INFY", 20.0), ("TCS", 10.0), ("TCS", 10.0)]
-    bad = [r.path for r in unreadable_files(spark, root, landed).collect()]
+    bad = [r.path for r in damaged_files(spark, root).collect()]
     assert len(bad) == 1 and bad[0].endswith("BAD.json.gz")
 
 
@@ -85,16 +86,17 @@ def test_merge_is_batching_invariant(spark, rows, cut):
     df = spark.createDataFrame(data, ddl)
     # a fetch never carries two versions of one bar
     df = df.dropDuplicates(["symbol", "ts", "fetched"])
-    at_once = merge_bars(df.drop("seq"))
     early = df.where(F.col("fetched") <= F.lit(dt.date(2026, 8, 20) + dt.timedelta(days=cut - 1)))
     late = df.where(F.col("fetched") > F.lit(dt.date(2026, 8, 20) + dt.timedelta(days=cut - 1)))
-    stepwise = merge_bars(late.drop("seq"), merge_bars(early.drop("seq")))
-    key = lambda r: (r.symbol, r.ts)
+    keep = {"provenance": True}
+    at_once = merge_bars(df.drop("seq"), **keep)
+    stepwise = merge_bars(late.drop("seq"), merge_bars(early.drop("seq"), **keep), **keep)
+    other = merge_bars(early.drop("seq"), merge_bars(late.drop("seq"), **keep), **keep)
+    assert sorted(map(tuple, at_once.collect()), key=str) == sorted(map(tuple, other.collect()), key=str)
     assert sorted(map(tuple, at_once.collect()), key=str) == sorted(map(tuple, stepwise.collect()), key=str)
-    again = merge_bars(late.drop("seq"), stepwise)
+    again = merge_bars(late.drop("seq"), stepwise, **keep)
     assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, stepwise.collect()), key=str)
     assert at_once.count() == at_once.select("symbol", "ts").distinct().count()
-    del key
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))

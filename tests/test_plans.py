@@ -63,3 +63,63 @@ def test_point_read_prunes_and_pushes(spark, scratch):
     assert "PartitionFilters: [isnotnull(interval" in plan
     assert "EqualTo(symbol,VIEW)" in plan
     assert "ReadSchema: struct<symbol:string,ts:bigint,o:double,h:double,l:double,c:double,v:bigint>" in plan
+
+
+def test_newest_wins_is_a_hash_aggregate(spark, make_bars):
+    from barkeep.operators.merge import merge_bars
+    b = make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 5)])
+    plan = merge_bars(b, b)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan
+
+
+def test_action_factors_frame_runs(spark, make_bars):
+    from barkeep.operators.actions import action_factors
+    from barkeep.schema import ACTION
+    b = make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 5)]).select("symbol", "date")
+    plan = action_factors(b, spark.createDataFrame([], ACTION), "2026-08-20")._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing" not in plan.lower()
+
+
+def test_archive_stats_does_not_expand(spark, make_bars):
+    from barkeep.sources.silver import archive_stats
+    b = make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 5)], "1m")
+    assert "Expand" not in archive_stats(b)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fold_keeps_grains_apart(spark, make_bars):
+    from barkeep.operators.candles import fold_bars
+    rows = [("A", "2026-08-18", "10:%02d" % m, 1, 1, 1, 1, 1) for m in range(0, 20, 5)]
+    two = make_bars(rows, "1m").unionByName(make_bars(rows, "5m"))
+    got = sorted((r.interval, r.v) for r in fold_bars(two, 2).collect())
+    assert got == [("1m", 2), ("1m", 2), ("5m", 2), ("5m", 2)]
+
+
+def test_board_ends_at_the_newest_date_of_both_grains(spark, make_bars):
+    from barkeep.plans.board import board
+    from barkeep.schema import ACTION
+    five = make_bars([("A", "2026-08-18", "10:%02d" % m, 1, 1, 1, 1, 1) for m in range(0, 30, 5)])
+    out = board(make_bars([]), five, spark.createDataFrame([], ACTION), 7)
+    assert out.count() == 6
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    import pytest
+    from barkeep import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
