@@ -26,10 +26,13 @@ from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, text_byt
 #: At most about this many labelled rows are fitted (seeded hash of the id).
 FIT_ROWS = 12_000
 #: A term is a feature if this many fitted texts hold it and its share among
-#: toxic texts differs from that among others by this many standard errors.
-MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.5, 4096
+#: toxic texts differs from that among others by this many standard errors,
+#: or if that of a pair it makes with another of the PAIRED commonest terms
+#: does by more (a pair can tell what neither of its terms does).
+MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 2.5, 4096
+PAIRED, MIN_PAIR_Z = 512, 7.0
 PREFIXES = (4, 5)
-FACTORS, EPOCHS, RATE, DECAY = 4, 40, 0.05, 1e-3
+FACTORS, EPOCHS, RATE, DECAY = 4, 60, 0.05, 5e-4
 
 #: ASCII other than letters and digits separates terms.
 _TERMS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -105,8 +108,9 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     p1, p0 = (hit + 0.5) / (toxic + 1), (df - hit + 0.5) / (n - toxic + 1)
     z = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
     z[df < MIN_TEXTS] = 0
-    keep = np.sort(np.argsort(-z, kind="stable")[:MAX_TERMS])
+    keep = np.argsort(-z, kind="stable")[:MAX_TERMS]
     keep = keep[z[keep] >= MIN_Z]
+    keep = np.union1d(keep, _paired(doc, term, df, y, np.isin(np.arange(len(terms)), keep)))
     if not len(keep):
         return none
     place = np.full(len(terms), -1)
@@ -115,7 +119,7 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     doc, term = doc[on], place[term[on]]
     rng = np.random.default_rng(seed)
     k = len(keep)
-    value = np.concatenate([[none.bias], np.zeros(k), rng.normal(0, 0.01, k * FACTORS)])
+    value = np.concatenate([[none.bias], np.zeros(k), rng.normal(0, 0.05, k * FACTORS)])
     m, v, step = np.zeros_like(value), np.zeros_like(value), 0
     cut = np.searchsorted(doc, np.arange(n + 1))
     for _ in range(EPOCHS):
@@ -132,7 +136,7 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
             g = (1 / (1 + np.exp(-np.clip(line, -40, 40))) - y[rows]) / len(rows)
             gw = np.bincount(t, g[d], k)
             gf = np.stack([np.bincount(t, g[d] * (total[d, j] - f[t, j]), k) for j in range(FACTORS)], 1)
-            grad = np.concatenate([[g.sum()], gw + DECAY / 100 * w, (gf + DECAY * f).ravel()])
+            grad = np.concatenate([[g.sum()], gw + DECAY / 20 * w, (gf + DECAY * f).ravel()])
             step += 1
             m = 0.9 * m + 0.1 * grad
             v = 0.999 * v + 0.001 * grad * grad
@@ -140,6 +144,27 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
     return Machine(terms[keep].astype(np.int64), float(value[0]), value[1:k + 1], value[k + 1:].reshape(k, FACTORS))
 
 
+def _paired(doc: np.ndarray, term: np.ndarray, df: np.ndarray, y: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    """Terms of pairs whose share differs between the classes by far more than
+    that of both terms; terms in nearly every text, or taken, are left out."""
+    n, toxic = len(y), y.sum()
+    common = np.where(taken | (df > 0.6 * n) | (df < 10), 0, df)
+    top = np.argsort(-common, kind="stable")[:PAIRED]
+    top = top[common[top] > 0]
+    place = np.full(len(df), -1)
+    place[top] = np.arange(len(top))
+    on = place[term] >= 0
+    x = np.zeros((n, len(top)), np.float32)
+    x[doc[on], place[term[on]]] = 1
+    one, all_ = x[y > 0].T @ x[y > 0], x.T @ x
+    p1, p0 = (one + 0.5) / (toxic + 1), (all_ - one + 0.5) / (n - toxic + 1)
+    z = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
+    alone = np.diag(z)
+    np.fill_diagonal(z, 0)
+    z[(z < MIN_PAIR_Z) | (all_ < 10) | (z < 2 * np.maximum(alone[:, None], alone[None]))] = 0
+    return top[z.max(1) > 0] if len(top) else top
+
+
 def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
     """The columns `keep` and the score as `out`, one row per input row."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
