@@ -33,8 +33,9 @@ from barkeep.llm.common import groups_of, hash_words, pair_hash
 EXACT, NEAR = 4, 256
 #: Lines end as str.splitlines' \n, \r\n and \r; blank ones are no paragraph.
 _ENDS = bytes.maketrans(b"\r", b"\n")
-#: Bytes of text per bucket of successive documents.
-BUCKET = 4 << 20
+#: Bytes of text per range of successive documents, and how many ranges at
+#: most; characters handled at once.
+RANGE, RANGES, BATCH = 4 << 20, 4096, 1 << 20
 
 
 def paragraphs(text: bytes) -> list[bytes]:
@@ -104,48 +105,59 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return np.where((a[0] == b[0]).all(1) & (a[1] == b[1]).all(1), 1.0, alike)
 
 
-def with_next(docs: DataFrame, fn, schema, bucket_bytes: int = BUCKET) -> DataFrame:
+def with_next(docs: DataFrame, fn, schema: str, range_bytes: int = RANGE, ranges: int = RANGES) -> DataFrame:
     """`fn(rows)` over documents in descending order of id (nulls last, equal
     ids by descending text), where rows are (doc_id, text) pairs and the last
     one only shows what follows; the smallest is followed by the largest.
 
-    Ids are cut into ranges of about `bucket_bytes` of text, found from a
-    summary of the ids; the first row of each range is also sent to the range
-    before it. One shuffle moves the texts, and no range grows with the data.
+    Ids are cut into ranges of about `range_bytes` of text, `ranges` at most,
+    found from a summary of the ids; the first row of each range is also sent
+    to the range before it. One shuffle moves the texts; a task sorts its
+    ranges and streams over them, so their size is no matter of memory.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = base.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
-    ranges = max(1, -(-(size["b"] or 0) // bucket_bytes))
-    cuts = sorted(set(base.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(ranges, max(1, -(-size // range_bytes)))
+    cuts = sorted({int(c) for c in base.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
     # Range 0 holds the largest ids; a null id falls into the last one.
-    cut = F.lit([int(c) for c in reversed(cuts)]) if cuts else None
-    number = (F.size(F.filter(cut, lambda c: F.col("doc_id") < c)) if cuts else F.lit(0)).cast("int")
-    number = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(number)
-    base = base.withColumn("bucket", number)
-    # One id per range: the first of each, whose text the range before needs.
-    head = base.groupBy("bucket").agg(F.max("doc_id").alias("first")).collect()
-    order = sorted(r["bucket"] for r in head)
-    before = {b: order[i - 1] for i, b in enumerate(order)}
-    first = {r["bucket"]: r["first"] for r in head}
-    if not order:
-        return docs.sparkSession.createDataFrame([], schema)
-    table = F.create_map(*[F.lit(x) for b in order for x in (b, before[b])])
-    firsts = F.create_map(*[F.lit(x) for b in order if first[b] is not None for x in (b, first[b])]) if any(v is not None for v in first.values()) else None
-    is_first = F.col("doc_id").eqNullSafe(firsts[F.col("bucket")]) if firsts is not None else F.col("doc_id").isNull()
-    places = F.when(is_first, F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest")),
-                                      F.struct(table[F.col("bucket")].alias("at"), F.lit(True).alias("guest")))
-                    ).otherwise(F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("guest"))))
-    dealt = base.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.at", "p.guest")
-
-    def run(key, frame):
-        import pandas as pd
-        rows = [(None if pd.isna(i) else int(i), t, g) for i, t, g in zip(frame["doc_id"], frame["text"], frame["guest"])]
-        rank = lambda r: (r[0] is not None, r[0] or 0, r[1])
-        own = sorted((r for r in rows if not r[2]), key=rank, reverse=True)
-        guests = sorted((r for r in rows if r[2]), key=rank, reverse=True)
-        return fn([r[:2] for r in own + guests[:1]])
-
-    return dealt.groupBy("at").applyInPandas(run, schema)
+    number = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(
+        F.size(F.filter(F.lit(cuts[::-1]), lambda c: F.col("doc_id") < c)) if cuts else F.lit(0))
+    base = base.withColumn("at", number.cast("int"))
+    # One row per range, `ranges` at most: its first id, and the range before.
+    head = sorted((r["at"], r["first"]) for r in base.groupBy("at").agg(F.max("doc_id").alias("first")).collect())
+    if not head:
+        return spark.createDataFrame([], schema)
+    before = F.broadcast(spark.createDataFrame(
+        [(at, first, head[i - 1][0]) for i, (at, first) in enumerate(head)], "at int, first long, before int"))
+    seats = F.array(F.struct("at", F.lit(False).alias("guest")))
+    also = F.array(F.struct(F.col("before").alias("at"), F.lit(True).alias("guest")))
+    places = F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.concat(seats, also)).otherwise(seats)
+    dealt = base.join(before, "at").select("doc_id", "text", F.explode(places).alias("p")).select("p.at", "p.guest", "doc_id", "text")
+    order = ["at", "guest", F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
+
+    def run(batches):
+        import pyarrow as pa
+        rows, held, now, closed = [], 0, None, False
+        for b in batches:
+            for at, guest, i, t in zip(*(b.column(k) for k in range(4))):
+                at, guest = at.as_py(), guest.as_py()
+                if at != now:
+                    rows, held, now, closed = [], 0, at, False
+                if closed:  # only the first guest follows
+                    continue
+                row = (i.as_py(), t.as_py())
+                rows.append(row)
+                held += len(row[1])
+                closed = guest
+                if closed or held > BATCH:
+                    if len(rows) > 1:
+                        yield from pa.Table.from_pandas(fn(rows), preserve_index=False).cast(arrow).to_batches()
+                    rows, held = [row], len(row[1])
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
+    return dealt.repartition("at").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

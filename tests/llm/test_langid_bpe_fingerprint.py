@@ -121,11 +121,12 @@ def brute_fingerprints(rows):
             for (i, _), t, n in zip(rows, texts, after)]
 
 
-@pytest.mark.parametrize("bucket", [fingerprint.BUCKET, 500])
-def test_edited_texts_match_brute_force(spark, tmp_path, bucket):
+@pytest.mark.parametrize(("size", "ranges", "batch"), [(fingerprint.RANGE, 10, 1 << 20), (500, 4096, 300), (500, 5, 1 << 20)])
+def test_edited_texts_match_brute_force(spark, tmp_path, monkeypatch, size, ranges, batch):
+    monkeypatch.setattr(fingerprint, "BATCH", batch)
     rows = awkward() + [(1000 + 7 * i, t.replace(" a", "\n")) for i, t in enumerate(prose(11, 80))]
     df = spark.read.parquet(write_docs(spark, str(tmp_path), rows) + "/documents.parquet")
-    got = fingerprint.with_next(df, fingerprint.edited_report, fingerprint.RESULT, bucket).collect()
+    got = fingerprint.with_next(df, fingerprint.edited_report, fingerprint.RESULT, size, ranges).collect()
     assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=str) == sorted(brute_fingerprints(rows), key=str)
     by_text = {}
     for r in got:
