@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, text_bytes
+from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, stored, text_bytes
 
 #: At most about this many labelled rows are fitted (seeded hash of the id).
 FIT_ROWS = 12_000
@@ -29,7 +29,7 @@ FIT_ROWS = 12_000
 #: toxic texts differs from that among others by this many standard errors,
 #: or if that of a pair it makes with another of the PAIRED commonest terms
 #: does by more (a pair can tell what neither of its terms does).
-MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 2.5, 4096
+MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.0, 4096
 PAIRED, MIN_PAIR_Z = 512, 7.0
 PREFIXES = (4, 5)
 FACTORS, EPOCHS, RATE, DECAY = 4, 60, 0.05, 5e-4
@@ -69,8 +69,9 @@ def term_sets(texts: list[bytes | None], known: np.ndarray | None = None) -> tup
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
         rows: int = FIT_ROWS, seed: int = 7) -> Machine:
-    """Fits on labelled texts outside the held fold: about `rows` of them at
-    most, so that what reaches the driver is bounded."""
+    """Fits on labelled texts outside the held fold, about `rows` of them at
+    most. Terms are counted by Spark; the driver gets MAX_TERMS + PAIRED terms
+    and what the sample's texts hold of them."""
     known = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
                     & (id_fold(F.col("doc_id"), folds) != held))
@@ -80,37 +81,57 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     def features(batches):
         import pyarrow as pa
         for b in batches:
-            texts, y = text_bytes(b.column(1)), b.column(0).to_pylist()
+            texts = text_bytes(b.column(1))
             for lo, hi in groups_of([len(t or b"") for t in texts]):
                 doc, term = term_sets(texts[lo:hi])
-                cut = np.searchsorted(doc, np.arange(hi - lo + 1))
-                sets = [term[cut[i]:cut[i + 1]].astype(np.int32).tobytes() for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([pa.array(y[lo:hi], pa.int32()), pa.array(sets, pa.binary())], ["toxic", "terms"])
+                cut = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(
+                    pa.array(cut), pa.array(term.astype(np.int32)))], ["toxic", "terms"])
 
     # `chosen` holds about `rows` ids at most: that bound allows the broadcast.
-    got = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-           .mapInArrow(features, "toxic int, terms binary").distinct().collect())
-    return train([np.frombuffer(r["terms"], np.int32) for r in got], np.array([r["toxic"] for r in got], float), seed)
+    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+                    .mapInArrow(features, "toxic int, terms array<int>").distinct(), "toxicity-sample")
+    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        return constant(n, toxic)
+    counts = stored(sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("toxic").alias("hit")).where(F.col("df") >= MIN_TEXTS), "toxicity-terms")
+    p1, p0 = (F.col("hit") + 0.5) / (toxic + 1), (F.col("df") - F.col("hit") + 0.5) / (n - toxic + 1)
+    z = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
+    telling = [r["term"] for r in counts.where(z >= MIN_Z).orderBy(z.desc(), "term").limit(MAX_TERMS).collect()]
+    common = [r["term"] for r in counts.where((z < MIN_Z) & (F.col("df") >= 10) & (F.col("df") <= 0.6 * n))
+              .orderBy(F.desc("df"), "term").limit(PAIRED).collect()]
+    terms = np.array(sorted({*telling, *common}), np.int64)
+
+    def held_terms(batches):
+        import pyarrow as pa
+        for b in batches:
+            sets = []
+            for s in b.column(1):
+                at = np.searchsorted(terms, own := s.values.to_numpy())
+                at[at == len(terms)] = 0
+                sets.append(at[terms[at] == own].astype(np.int32).tobytes() if len(terms) else b"")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["toxic", "terms"])
 
+    got = sorted((r["toxic"], bytes(r["terms"])) for r in sample.mapInArrow(held_terms, "toxic int, terms binary").collect())
+    y = np.array([r[0] for r in got], float)
+    return train(terms, np.isin(terms, telling), [np.frombuffer(r[1], np.int32) for r in got], y, seed)
 
-def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
-    """Logistic loss, Adam, mini-batches in a seeded order."""
-    n, toxic = len(sets), float(y.sum()) if len(sets) else 0.0
+
+def constant(n: int, toxic: int) -> Machine:
+    """No feature: the smoothed share of toxic labels."""
     rate = (toxic + 0.5) / (n + 10.0)
-    none = Machine(np.zeros(0, np.int64), float(np.log(rate / (1 - rate))), np.zeros(0), np.zeros((0, FACTORS)))
-    if not 0 < toxic < n:
-        return none
-    order = np.lexsort((y, [int(s.astype(np.int64).sum()) for s in sets], [len(s) for s in sets]))
-    sets, y = [sets[i] for i in order], y[order]
+    return Machine(np.zeros(0, np.int64), float(np.log(rate / (1 - rate))), np.zeros(0), np.zeros((0, FACTORS)))
+
+
+def train(terms: np.ndarray, telling: np.ndarray, sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
+    """Logistic loss, Adam, mini-batches in a seeded order. `sets` hold places
+    in `terms`; `telling` marks the terms that are features anyway."""
+    n, toxic = len(sets), float(y.sum())
     doc = np.repeat(np.arange(n), [len(s) for s in sets])
-    terms, term = np.unique(np.concatenate(sets), return_inverse=True)
-    df, hit = np.bincount(term, minlength=len(terms)), np.bincount(term, y[doc], len(terms))
-    p1, p0 = (hit + 0.5) / (toxic + 1), (df - hit + 0.5) / (n - toxic + 1)
-    z = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
-    z[df < MIN_TEXTS] = 0
-    keep = np.argsort(-z, kind="stable")[:MAX_TERMS]
-    keep = keep[z[keep] >= MIN_Z]
-    keep = np.union1d(keep, _paired(doc, term, df, y, np.isin(np.arange(len(terms)), keep)))
+    term = np.concatenate(sets).astype(np.int64) if len(doc) else np.zeros(0, np.int64)
+    keep = np.union1d(np.flatnonzero(telling), _paired(doc, term, y, np.flatnonzero(~telling))).astype(np.int64)
+    none = constant(n, int(toxic))
     if not len(keep):
         return none
     place = np.full(len(terms), -1)
@@ -141,17 +162,16 @@ def train(sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
             m = 0.9 * m + 0.1 * grad
             v = 0.999 * v + 0.001 * grad * grad
             value = value - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return Machine(terms[keep].astype(np.int64), float(value[0]), value[1:k + 1], value[k + 1:].reshape(k, FACTORS))
+    return Machine(terms[keep], float(value[0]), value[1:k + 1], value[k + 1:].reshape(k, FACTORS))
 
 
-def _paired(doc: np.ndarray, term: np.ndarray, df: np.ndarray, y: np.ndarray, taken: np.ndarray) -> np.ndarray:
-    """Terms of pairs whose share differs between the classes by far more than
-    that of both terms; terms in nearly every text, or taken, are left out."""
+def _paired(doc: np.ndarray, term: np.ndarray, y: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Those of the terms `top` in pairs whose share differs between the
+    classes by far more than that of either term."""
+    if not len(top):
+        return top
     n, toxic = len(y), y.sum()
-    common = np.where(taken | (df > 0.6 * n) | (df < 10), 0, df)
-    top = np.argsort(-common, kind="stable")[:PAIRED]
-    top = top[common[top] > 0]
-    place = np.full(len(df), -1)
+    place = np.full(max(int(term.max(initial=0)), int(top.max())) + 1, -1)
     place[top] = np.arange(len(top))
     on = place[term] >= 0
     x = np.zeros((n, len(top)), np.float32)
@@ -159,10 +179,10 @@ def _paired(doc: np.ndarray, term: np.ndarray, df: np.ndarray, y: np.ndarray, ta
     one, all_ = x[y > 0].T @ x[y > 0], x.T @ x
     p1, p0 = (one + 0.5) / (toxic + 1), (all_ - one + 0.5) / (n - toxic + 1)
     z = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
-    alone = np.diag(z)
+    alone = np.diag(z).copy()
     np.fill_diagonal(z, 0)
     z[(z < MIN_PAIR_Z) | (all_ < 10) | (z < 2 * np.maximum(alone[:, None], alone[None]))] = 0
-    return top[z.max(1) > 0] if len(top) else top
+    return top[z.max(1) > 0]
 
 
 def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
