@@ -12,12 +12,14 @@ Documents with equal shingle sets are one node from the start. Nodes that
 agree in a band of the signature are candidates; a link needs the threshold
 on the full sets. Within a bucket of a band a centre is compared with all
 others, and all that link are joined; buckets that still hold several
-components are compared around further centres, and in the end every pair of
-nodes of different components in a bucket is compared. So the components are
-those of all candidate links, while a large group of near copies costs work in
-proportion to its members, not to their pairs.
+components are compared around further centres. In the end the signatures of
+every two nodes of different components in a bucket are compared, in blocks,
+and those that agree in ESTIMATE of their places or more are verified. So the
+components are those of all candidate links, while a large group of near
+copies costs work in proportion to its members, not to their pairs.
 
-A pair at the threshold 0.8 misses all 30 bands with a chance of 1e-5.
+A pair at the threshold 0.8 misses all 30 bands with a chance of 1e-5, and
+falls below ESTIMATE with one of 2e-6.
 
 Edge cases: null and empty texts, and texts without a word, have no shingle
 and link with nothing; a text of fewer words than a shingle is one shingle;
@@ -38,6 +40,9 @@ ROWS, BANDS = 5, 30
 M = ROWS * BANDS
 #: Candidate ids up to this many (8 MB) are broadcast to the texts.
 FEW_IDS = 1_000_000
+ESTIMATE = 0.65
+#: Rows of a bucket that meet in one block.
+CHUNK = 4096
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -113,7 +118,8 @@ def band_hashes(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, a, b (hash of the set, 128 bits), bands; null ids left out."""
+    """doc_id, n, a, b (hash of the set, 128 bits), bands, places (16 bits of
+    each place of the signature)."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
@@ -124,14 +130,17 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                 a, b = np.zeros(hi - lo, np.uint64), np.zeros(hi - lo, np.uint64)
                 np.add.at(a, owner, mix(e ^ np.uint64(0x51)))
                 np.add.at(b, owner, mix(e ^ np.uint64(0xA3)))
-                bands = band_hashes(superminhash(e, n)).view(np.int64)
+                sig = superminhash(e, n)
+                bands = band_hashes(sig).view(np.int64)
                 held = np.flatnonzero(n == 0)
                 rows = [None if i in held else r for i, r in enumerate(bands)] if len(held) else list(bands)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)),
-                    pa.array(b.view(np.int64)), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "n", "a", "b", "bands"])
+                    pa.array(b.view(np.int64)), pa.array(rows, pa.list_(pa.int64())),
+                    pa.array([x.tobytes() for x in sig.astype(np.uint16)], pa.binary())],
+                    ["doc_id", "n", "a", "b", "bands", "places"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, a long, b long, bands array<long>, places binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -191,6 +200,53 @@ def components(edges: DataFrame) -> DataFrame:
                 roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
 
 
+def _crossed(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (x, y, with their components p, q) of different components in a
+    bucket whose sizes and signatures allow a link. A bucket of more than
+    CHUNK rows is dealt out as pairs of chunks; small ones share a task's
+    group."""
+    low, full = threshold
+    parts = rows.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK).select(
+        "bucket", F.ceil(F.col("size") / CHUNK).cast("int").alias("parts"))
+    own = rows.join(parts, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = own.withColumn("own", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("parts")).cast("int"))
+    own = own.select("bucket", "node", "root", "n", "places", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    cell = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
+    groups = max(1, rows.count() // CHUNK)
+    own = own.withColumn("cell", cell).withColumn("group", F.pmod("cell", F.lit(groups)))
+
+    def pairs(key, frame):
+        import pandas as pd
+        frame = frame.sort_values(["cell", "node"])
+        cells, node, root, n = (frame[c].to_numpy() for c in ("cell", "node", "root", "n"))
+        sig = np.frombuffer(b"".join(frame["places"]), np.uint16).reshape(len(frame), -1)
+        mine = frame["own"].to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1], [True]]))
+        out = [np.zeros((0, 2), np.int64)]
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            # The largest component is only compared with the others.
+            names, code, size = np.unique(root[lo:hi], return_inverse=True, return_counts=True)
+            if len(names) < 2:
+                continue
+            place = np.empty(len(names), np.int64)
+            place[np.argsort(-size, kind="stable")] = np.arange(len(names))
+            order = place[code]
+            both = len(np.unique(mine[lo:hi])) > 1
+            for i in np.flatnonzero(order > 0):
+                others = np.flatnonzero(order < order[i]) + lo
+                if both:
+                    others = others[mine[others] != mine[lo + i]]
+                a, b = n[others], n[lo + i]
+                others = others[np.minimum(a, b) * full >= np.maximum(a, b) * low]
+                agree = (sig[others] == sig[lo + i]).mean(1)
+                others = others[agree >= ESTIMATE]
+                out.append(np.stack([np.full(len(others), lo + i), others], 1))
+        at = np.concatenate(out)
+        return pd.DataFrame({"x": node[at[:, 1]], "y": node[at[:, 0]], "p": root[at[:, 1]], "q": root[at[:, 0]]})
+
+    return own.groupBy("group").applyInPandas(pairs, "x long, y long, p long, q long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row. Links
     need threshold[1] * intersection >= threshold[0] * union."""
@@ -198,7 +254,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(_signed(rows, width), "neardup-signatures")
     known = signed.where("doc_id is not null and n > 0")
-    nodes = known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("bands").alias("bands"))
+    nodes = known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("bands").alias("bands"),
+                                               F.first("places").alias("places"))
     nodes = stored(nodes, "neardup-nodes")
     bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = bucket.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
@@ -234,13 +291,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
             pairs = own.join(centre, "bucket").where((F.col("root") != F.col("p")) & near())
             pairs = pairs.select("x", F.col("node").alias("y"), "p", F.col("root").alias("q"))
         else:
-            # All that is left: pairs of different components in a bucket.
-            parts = own.groupBy("bucket", "root").agg(F.collect_list(F.struct("node", "n")).alias("held"))
-            other = parts.select("bucket", F.col("root").alias("p"), F.col("held").alias("others"))
-            pairs = parts.join(other, "bucket").where("p < root").select("root", "p", "others", F.explode("held").alias("h")).select(
-                "root", "p", "h", F.explode("others").alias("o")).select(
-                F.col("o.node").alias("x"), F.col("h.node").alias("y"), "p", F.col("root").alias("q"),
-                F.col("h.n").alias("n"), F.col("o.n").alias("m")).where(near()).select("x", "y", "p", "q")
+            pairs = _crossed(own.join(nodes.select("node", "places"), "node"), threshold)
         found = stored(links(pairs.distinct()), "neardup-links")
         merged = components(found)
         if label is None:
@@ -256,7 +307,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     if label is not None:
         whole = whole.join(label, "node", "left").where("members > 1 or root is not null")
     whole = whole.select("n", "a", "b", F.coalesce("root", "node").alias("component_id"))
-    out = signed.drop("bands").join(whole, ["n", "a", "b"], "left")
+    out = signed.drop("bands", "places").join(whole, ["n", "a", "b"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
