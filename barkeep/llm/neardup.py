@@ -14,7 +14,8 @@ on the full sets. Within a bucket of a band a centre is compared with all
 others, and all that link are joined; buckets that still hold several
 components are compared around further centres. In the end the signatures of
 every two nodes of different components in a bucket are compared, in blocks,
-and those that agree in ESTIMATE of their places or more are verified. So the
+and those that agree in ESTIMATE of their places or more are verified there,
+in the first bucket that they share; only links leave a block. So the
 components are those of all candidate links, while a large group of near
 copies costs work in proportion to its members, not to their pairs.
 
@@ -201,18 +202,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _crossed(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (x, y, with their components p, q) of different components in a
-    bucket whose sizes and signatures allow a link. A bucket of more than
-    CHUNK rows is dealt out as pairs of chunks; small ones share a task's
-    group."""
+    """The components (a, b) of all linked pairs of different components in a
+    bucket: sizes and signatures first, then the full sets. A bucket of more
+    than CHUNK rows is dealt out as pairs of chunks; small ones share a
+    task's group."""
     low, full = threshold
     parts = rows.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK).select(
         "bucket", F.ceil(F.col("size") / CHUNK).cast("int").alias("parts"))
     own = rows.join(parts, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = own.withColumn("own", F.pmod(F.xxhash64(F.lit(9), "node"), F.col("parts")).cast("int"))
-    own = own.select("bucket", "node", "root", "n", "places", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    own = own.select("bucket", "band", "node", "root", "n", "places", "set", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     cell = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    groups = max(1, rows.count() // CHUNK)
+    groups = max(1, rows.count() // max(1, CHUNK // 4))
     own = own.withColumn("cell", cell).withColumn("group", F.pmod("cell", F.lit(groups)))
 
     def pairs(key, frame):
@@ -220,9 +221,9 @@ def _crossed(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         frame = frame.sort_values(["cell", "node"])
         cells, node, root, n = (frame[c].to_numpy() for c in ("cell", "node", "root", "n"))
         sig = np.frombuffer(b"".join(frame["places"]), np.uint16).reshape(len(frame), -1)
-        mine = frame["own"].to_numpy()
+        mine, band, sets = frame["own"].to_numpy(), frame["band"].to_numpy(), list(frame["set"])
         cut = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1], [True]]))
-        out = [np.zeros((0, 2), np.int64)]
+        out = set()
         for lo, hi in zip(cut[:-1], cut[1:]):
             # The largest component is only compared with the others.
             names, code, size = np.unique(root[lo:hi], return_inverse=True, return_counts=True)
@@ -238,13 +239,18 @@ def _crossed(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
                     others = others[mine[others] != mine[lo + i]]
                 a, b = n[others], n[lo + i]
                 others = others[np.minimum(a, b) * full >= np.maximum(a, b) * low]
-                agree = (sig[others] == sig[lo + i]).mean(1)
-                others = others[agree >= ESTIMATE]
-                out.append(np.stack([np.full(len(others), lo + i), others], 1))
-        at = np.concatenate(out)
-        return pd.DataFrame({"x": node[at[:, 1]], "y": node[at[:, 0]], "p": root[at[:, 1]], "q": root[at[:, 0]]})
+                same = sig[others] == sig[lo + i]
+                others, same = others[near := same.mean(1) >= ESTIMATE], same[near]
+                # Verified in the first band that both share, nowhere else.
+                first = same.reshape(len(same), sig.shape[1] // ROWS, ROWS).all(2).argmax(1)
+                for j in others[first >= band[lo + i]]:
+                    if (link := (min(root[lo + i], root[j]), max(root[lo + i], root[j]))) not in out:
+                        common = len(np.intersect1d(sets[lo + i], sets[j], assume_unique=True))
+                        if common * full >= low * (n[lo + i] + n[j] - common):
+                            out.add(link)
+        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
-    return own.groupBy("group").applyInPandas(pairs, "x long, y long, p long, q long")
+    return own.groupBy("group").applyInPandas(pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -257,9 +263,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     nodes = known.groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("bands").alias("bands"),
                                                F.first("places").alias("places"))
     nodes = stored(nodes, "neardup-nodes")
-    bucket = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    bucket = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = bucket.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    bucket = stored(bucket.join(shared, "bucket").select("bucket", "node", "n"), "neardup-buckets")
+    bucket = stored(bucket.join(shared, "bucket").select("bucket", "band", "node", "n"), "neardup-buckets")
     near = lambda: (F.least("n", "m") * full >= F.greatest("n", "m") * low)  # noqa: E731  other sizes cannot link
 
     ids = stored(bucket.select(F.col("node").alias("doc_id")).distinct(), "neardup-ids")
@@ -291,8 +297,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
             pairs = own.join(centre, "bucket").where((F.col("root") != F.col("p")) & near())
             pairs = pairs.select("x", F.col("node").alias("y"), "p", F.col("root").alias("q"))
         else:
-            pairs = _crossed(own.join(nodes.select("node", "places"), "node"), threshold)
-        found = stored(links(pairs.distinct()), "neardup-links")
+            held = sets.select(F.col("doc_id").alias("node"), "set")
+            pairs = None
+            found = stored(_crossed(own.join(nodes.select("node", "places"), "node").join(held, "node"), threshold), "neardup-links")
+        if pairs is not None:
+            found = stored(links(pairs.distinct()), "neardup-links")
         merged = components(found)
         if label is None:
             label = merged

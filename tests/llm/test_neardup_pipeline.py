@@ -69,12 +69,17 @@ def test_exhaustive_step_in_chunks_finds_what_centres_miss(spark, tmp_path, monk
 
 def test_chunked_pairs_cover_all_cross_pairs(spark, monkeypatch):
     monkeypatch.setattr(neardup, "CHUNK", 3)
-    sig = np.arange(8, dtype=np.uint16).tobytes()
-    rows = spark.createDataFrame([(1, i, i % 4, 10, bytearray(sig)) for i in range(11)] + [(2, 50, 50, 10, bytearray(sig)), (2, 51, 51, 10, bytearray(sig))],
-                                 "bucket long, node long, root long, n long, places binary")
-    got = {frozenset((r.x, r.y)) for r in neardup._crossed(rows, (80, 100)).collect()}
-    want = {frozenset((i, j)) for i in range(11) for j in range(i) if i % 4 != j % 4} | {frozenset((50, 51))}
-    assert got == want
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**62, 40).tolist()
+    held = [(1, i, 1000 + i, sorted(base[:40 - i] + rng.integers(0, 2**62, i).tolist())) for i in range(11)]
+    held += [(2, 50, 50, sorted(base)), (2, 51, 51, sorted(base))]
+    sig = neardup.superminhash(np.array([x for h in held for x in h[3]], np.uint64), np.array([len(h[3]) for h in held]))
+    rows = spark.createDataFrame([(b, 0, i, r, len(s), s, bytearray(sig[0].astype(np.uint16).tobytes())) for b, i, r, s in held],
+                                 "bucket long, band int, node long, root long, n long, set array<long>, places binary")
+    got = {(r.a, r.b) for r in neardup._crossed(rows, (80, 100)).collect()}
+    share = lambda s, t: len(set(s) & set(t)) / len(set(s) | set(t))
+    want = {(r, q) for b, _, r, s in held for c, _, q, t in held if b == c and r < q and share(s, t) >= 0.8}
+    assert got == want and len(want) > 10
 
 
 def test_signature_estimates_and_early_stop():
