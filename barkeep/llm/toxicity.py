@@ -32,7 +32,7 @@ FIT_ROWS = 12_000
 MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.0, 4096
 PAIRED, MIN_PAIR_Z = 512, 7.0
 PREFIXES = (4, 5)
-FACTORS, EPOCHS, RATE, DECAY = 4, 60, 0.05, 5e-4
+FACTORS, EPOCHS, STEPS, RATE, DECAY = 4, 60, 1400, 0.05, 5e-4
 
 #: ASCII other than letters and digits separates terms.
 _TERMS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -125,7 +125,8 @@ def constant(n: int, toxic: int) -> Machine:
 
 
 def train(terms: np.ndarray, telling: np.ndarray, sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
-    """Logistic loss, Adam, mini-batches in a seeded order. `sets` hold places
+    """Logistic loss, Adam, mini-batches in a seeded order: EPOCHS rounds, more
+    where these make fewer than STEPS steps. `sets` hold places
     in `terms`; `telling` marks the terms that are features anyway."""
     n, toxic = len(sets), float(y.sum())
     doc = np.repeat(np.arange(n), [len(s) for s in sets])
@@ -143,7 +144,7 @@ def train(terms: np.ndarray, telling: np.ndarray, sets: list[np.ndarray], y: np.
     value = np.concatenate([[none.bias], np.zeros(k), rng.normal(0, 0.05, k * FACTORS)])
     m, v, step = np.zeros_like(value), np.zeros_like(value), 0
     cut = np.searchsorted(doc, np.arange(n + 1))
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS // -(-n // 512)))):
         shuffled = rng.permutation(n)
         for lo in range(0, n, 512):
             rows = shuffled[lo:lo + 512]
