@@ -146,6 +146,19 @@ def test_bad_vectors_take_no_part_and_few_give_all(spark, tmp_path):
     assert got[20] == [(1.0, 7), (0.5, 0), (0.5, 8)]
 
 
+def test_rows_of_an_id_take_one_place(spark, tmp_path, monkeypatch):
+    rows = vectors(60, 12, 2)
+    write(spark, str(tmp_path / "twice"), "embeddings", [(*r, 1, 0.5, "x") for r in rows * 2], VECS)
+    assert run(spark, str(tmp_path / "twice")) == brute(rows)
+    near = [(61, (np.array(rows[20][1]) * (2 + i / 50)).astype(np.float32).tolist()) for i in range(40)]
+    write(spark, str(tmp_path / "one"), "embeddings", [(*r, 1, 0.5, "x") for r in rows + near], VECS)
+    assert run(spark, str(tmp_path / "one")) == brute(rows + near)
+    # Leaves full of one id's rows do not end the search.
+    monkeypatch.setattr(ann, "LEAF", 16)
+    write(spark, str(tmp_path / "leaves"), "embeddings", [(*r, 1, 0.5, "x") for r in rows + near * 3], VECS)
+    assert {len(found) for found in run(spark, str(tmp_path / "leaves")).values()} == {20}
+
+
 def test_no_vectors(spark, tmp_path):
     write(spark, str(tmp_path), "embeddings", [], VECS)
     assert run(spark, str(tmp_path)) == {}
