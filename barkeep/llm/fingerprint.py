@@ -8,7 +8,7 @@ kinds of lanes stand side by side:
 
 - EXACT lanes of 64 bits, modulo 2^64, uniform in the whole paragraph: equal
   sums mean equal multisets of paragraphs (up to hash collisions).
-- NEAR lanes of 16 bits, modulo 2^16, where each pair of successive words of
+- NEAR lanes of 32 bits, modulo 2^32 (a text of 2 GB cannot fill one), where each pair of successive words of
   the paragraph (a lone word, if it is one) adds +1 or -1 to one lane. Their
   inner products estimate those of the word-pair counts, so two fingerprints
   alone tell how alike the texts are: twice the product over the sum of
@@ -62,12 +62,12 @@ def _near(h: np.ndarray, n: np.ndarray, owner: np.ndarray, owners: int) -> np.nd
     sign = 1 - 2 * ((pairs >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
     lane = (pairs & np.uint64(NEAR - 1)).astype(np.int64)
     total = np.bincount(who * NEAR + lane, sign, owners * NEAR).astype(np.int64)
-    return total.astype(np.uint16).reshape(owners, NEAR)  # modulo 2^16
+    return total.astype(np.uint32).reshape(owners, NEAR)  # modulo 2^32
 
 
 def fingerprints(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(exact, near) sums per text."""
-    exact, near = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), NEAR), np.uint16)
+    exact, near = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), NEAR), np.uint32)
     raw = [(t or "").encode() for t in texts]
     for lo, hi in groups_of([len(t) for t in raw], 1 << 20):
         parts = [paragraphs(t) for t in raw[lo:hi]]
@@ -89,17 +89,17 @@ def add(a, b, sign: int = 1):
 
 
 def render(exact: np.ndarray, near: np.ndarray) -> str:
-    return base64.b64encode(exact.astype("<u8").tobytes() + near.astype("<u2").tobytes()).decode()
+    return base64.b64encode(exact.astype("<u8").tobytes() + near.astype("<u4").tobytes()).decode()
 
 
 def parse(text: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(text)
-    return np.frombuffer(raw[:8 * EXACT], "<u8"), np.frombuffer(raw[8 * EXACT:], "<u2")
+    return np.frombuffer(raw[:8 * EXACT], "<u8"), np.frombuffer(raw[8 * EXACT:], "<u4")
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Row-wise likeness of two sets of fingerprints."""
-    x, y = a[1].astype(np.int16).astype(float), b[1].astype(np.int16).astype(float)
+    x, y = a[1].astype(np.int32).astype(float), b[1].astype(np.int32).astype(float)
     squares = (x * x).sum(1) + (y * y).sum(1)
     alike = np.clip(2 * (x * y).sum(1) / np.maximum(squares, 1), 0, 1)
     return np.where((a[0] == b[0]).all(1) & (a[1] == b[1]).all(1), 1.0, alike)

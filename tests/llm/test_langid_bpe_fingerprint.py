@@ -163,6 +163,16 @@ def test_likeness_tracks_shared_paragraphs():
     assert prev < 0.15
 
 
+def test_likeness_of_one_pair_repeated():
+    """40,000, 70,000 and 35,000 of one pair: sums beyond 16 bits."""
+    whole, half = fingerprint.fingerprints(["0 " * 70_001]), fingerprint.fingerprints(["0 " * 35_001])
+    near = float(fingerprint.likeness(whole, half)[0])
+    assert abs(near - 2 * 70_000 * 35_000 / (70_000 ** 2 + 35_000 ** 2)) < 1e-9
+    some = fingerprint.fingerprints(["0 " * 40_001])
+    assert abs(float(fingerprint.likeness(whole, some)[0]) - 2 * 70_000 * 40_000 / (70_000 ** 2 + 40_000 ** 2)) < 1e-9
+    assert all((a == b[0]).all() for a, b in zip(fingerprint.parse(fingerprint.render(*[x[0] for x in whole])), whole))
+
+
 def test_fingerprint_one_and_no_row(spark, tmp_path):
     one = fingerprint.op8_fingerprint(spark, write_docs(spark, str(tmp_path / "a"), [(5, "abcd")])).collect()
     assert [(r.doc_id, r.edited_sha256) for r in one] == [(5, hashlib.sha256(b"abab").hexdigest())]
