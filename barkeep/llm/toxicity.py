@@ -27,10 +27,11 @@ from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, stored,
 FIT_ROWS = 12_000
 #: A term is a feature if this many fitted texts hold it and its share among
 #: toxic texts differs from that among others by this many standard errors,
-#: or if that of a pair it makes with another of the PAIRED commonest terms
-#: does by more (a pair can tell what neither of its terms does).
+#: or if a pair it makes with any other term tells by more (a pair can tell
+#: what neither of its terms does, or turn what one of them does). A pair
+#: counts from PAIR_TEXTS fitted texts on; PAIR_TASKS share the counting.
 MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.0, 4096
-PAIRED, MIN_PAIR_Z = 512, 7.0
+PAIR_TEXTS, MIN_PAIR_Z, PAIR_TASKS = 10, 7.0, 24
 PREFIXES = (4, 5)
 FACTORS, EPOCHS, STEPS, RATE, DECAY = 4, 60, 1400, 0.05, 5e-4
 
@@ -70,8 +71,8 @@ def term_sets(texts: list[bytes | None], known: np.ndarray | None = None) -> tup
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
         rows: int = FIT_ROWS, seed: int = 7) -> Machine:
     """Fits on labelled texts outside the held fold, about `rows` of them at
-    most. Terms are counted by Spark; the driver gets MAX_TERMS + PAIRED terms
-    and what the sample's texts hold of them."""
+    most. Terms and pairs are counted by Spark; the driver gets the terms that
+    enough fitted texts hold and what the sample's texts hold of them."""
     known = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
                     & (id_fold(F.col("doc_id"), folds) != held))
@@ -99,9 +100,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     p1, p0 = (F.col("hit") + 0.5) / (toxic + 1), (F.col("df") - F.col("hit") + 0.5) / (n - toxic + 1)
     z = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
     telling = [r["term"] for r in counts.where(z >= MIN_Z).orderBy(z.desc(), "term").limit(MAX_TERMS).collect()]
-    common = [r["term"] for r in counts.where((z < MIN_Z) & (F.col("df") >= 10) & (F.col("df") <= 0.6 * n))
-              .orderBy(F.desc("df"), "term").limit(PAIRED).collect()]
-    terms = np.array(sorted({*telling, *common}), np.int64)
+    pool = counts.where(F.col("df") >= PAIR_TEXTS).select("term").toArrow().column(0).to_numpy()
+    terms = np.union1d(pool, np.array(telling, np.int64)).astype(np.int64)
 
     def held_terms(batches):
         import pyarrow as pa
@@ -115,7 +115,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
 
     got = sorted((r["toxic"], bytes(r["terms"])) for r in sample.mapInArrow(held_terms, "toxic int, terms binary").collect())
     y = np.array([r[0] for r in got], float)
-    return train(terms, np.isin(terms, telling), [np.frombuffer(r[1], np.int32) for r in got], y, seed)
+    term = np.frombuffer(b"".join([r[1] for r in got]), np.int32)
+    cut = np.cumsum([0] + [len(r[1]) // 4 for r in got])
+    del got
+    alone = np.isin(terms, telling)
+    keep = np.union1d(np.flatnonzero(alone), paired(docs.sparkSession, term, cut, int(n - toxic), alone)).astype(np.int64)
+    return train(terms, keep, term, cut, y, seed)
 
 
 def constant(n: int, toxic: int) -> Machine:
@@ -124,21 +129,18 @@ def constant(n: int, toxic: int) -> Machine:
     return Machine(np.zeros(0, np.int64), float(np.log(rate / (1 - rate))), np.zeros(0), np.zeros((0, FACTORS)))
 
 
-def train(terms: np.ndarray, telling: np.ndarray, sets: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
+def train(terms: np.ndarray, keep: np.ndarray, term: np.ndarray, cut: np.ndarray, y: np.ndarray, seed: int = 7) -> Machine:
     """Logistic loss, Adam, mini-batches in a seeded order: EPOCHS rounds, more
-    where these make fewer than STEPS steps. `sets` hold places
-    in `terms`; `telling` marks the terms that are features anyway."""
-    n, toxic = len(sets), float(y.sum())
-    doc = np.repeat(np.arange(n), [len(s) for s in sets])
-    term = np.concatenate(sets).astype(np.int64) if len(doc) else np.zeros(0, np.int64)
-    keep = np.union1d(np.flatnonzero(telling), _paired(doc, term, y, np.flatnonzero(~telling))).astype(np.int64)
+    where these make fewer than STEPS steps. Text i holds the places
+    term[cut[i]:cut[i + 1]] in `terms`; `keep` has those of the features."""
+    n, toxic = len(y), float(y.sum())
     none = constant(n, int(toxic))
     if not len(keep):
         return none
     place = np.full(len(terms), -1)
     place[keep] = np.arange(len(keep))
-    on = place[term] >= 0
-    doc, term = doc[on], place[term[on]]
+    on = np.flatnonzero(place[term] >= 0)
+    doc, term = np.searchsorted(cut, on, "right") - 1, place[term[on]]
     rng = np.random.default_rng(seed)
     k = len(keep)
     value = np.concatenate([[none.bias], np.zeros(k), rng.normal(0, 0.05, k * FACTORS)])
@@ -166,24 +168,62 @@ def train(terms: np.ndarray, telling: np.ndarray, sets: list[np.ndarray], y: np.
     return Machine(terms[keep], float(value[0]), value[1:k + 1], value[k + 1:].reshape(k, FACTORS))
 
 
-def _paired(doc: np.ndarray, term: np.ndarray, y: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Those of the terms `top` in pairs whose share differs between the
-    classes by far more than that of either term."""
-    if not len(top):
-        return top
-    n, toxic = len(y), y.sum()
-    place = np.full(max(int(term.max(initial=0)), int(top.max())) + 1, -1)
-    place[top] = np.arange(len(top))
-    on = place[term] >= 0
-    x = np.zeros((n, len(top)), np.float32)
-    x[doc[on], place[term[on]]] = 1
-    one, all_ = x[y > 0].T @ x[y > 0], x.T @ x
+def _gap(one, all_, toxic: int, n: int):
+    """By how many standard errors the share among toxic texts differs."""
     p1, p0 = (one + 0.5) / (toxic + 1), (all_ - one + 0.5) / (n - toxic + 1)
-    z = np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
-    alone = np.diag(z).copy()
-    np.fill_diagonal(z, 0)
-    z[(z < MIN_PAIR_Z) | (all_ < 10) | (z < 2 * np.maximum(alone[:, None], alone[None]))] = 0
-    return top[z.max(1) > 0]
+    return np.abs(p1 - p0) / np.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
+
+
+def paired(spark, term: np.ndarray, cut: np.ndarray, clean: int, telling: np.ndarray) -> np.ndarray:
+    """Those of the other terms in pairs that tell: two of them, if the pair's
+    share differs between the classes by far more than that of either; one
+    beside a telling term, if texts with that term are toxic more or less often
+    with it than without. Every pair is counted that can reach MIN_PAIR_Z. The
+    first `clean` texts are the others', the rest toxic; the sample is sent to
+    PAIR_TASKS tasks, which share the terms."""
+    n, toxic, size = len(cut) - 1, len(cut) - 1 - clean, len(telling)
+    df = np.bincount(term, minlength=size)
+    hit = np.bincount(term[cut[clean]:], minlength=size)
+    alone = _gap(hit, df, toxic, n)
+    # Below `least` texts a pair of either class alone stays under MIN_PAIR_Z.
+    m = np.arange(n + 1)
+    enough = (_gap(np.minimum(m, toxic), m, toxic, n) >= MIN_PAIR_Z) | (_gap(np.maximum(m - clean, 0), m, toxic, n) >= MIN_PAIR_Z)
+    least = max(PAIR_TEXTS, int(np.argmax(enough)) if enough.any() else n + 1)
+    first = telling & (df >= PAIR_TEXTS) | ~telling & (df >= least)
+    shared = spark.sparkContext.broadcast((term, cut))
+
+    def count(batches):
+        import pyarrow as pa
+        held, cuts = shared.value
+        for b in batches:
+            for task in b.column(0).to_pylist():
+                at = np.flatnonzero((held % PAIR_TASKS == task) & first[held])
+                at = at[np.argsort(held[at], kind="stable")]
+                doc, own = np.searchsorted(cuts, at, "right") - 1, held[at]
+                ends = np.flatnonzero(np.concatenate([own[1:] != own[:-1], [True]])) + 1 if len(own) else []
+                found, lo = np.zeros(size, bool), 0
+                for hi in ends:
+                    a, in_clean = own[lo], lo + np.searchsorted(doc[lo:hi], clean)
+                    zero, one = (np.bincount(np.concatenate([held[cuts[d]:cuts[d + 1]] for d in part]), minlength=size)
+                                 if len(part) else np.zeros(size, np.int64) for part in (doc[lo:in_clean], doc[in_clean:hi]))
+                    all_ = zero + one
+                    lo = hi
+                    if telling[a]:
+                        c = np.flatnonzero((all_ >= PAIR_TEXTS) & (all_ < df[a]) & ~telling)
+                        rate, rest = (hit[a] + 0.5) / (df[a] + 1), df[a] - all_[c]
+                        gap = np.abs(one[c] / all_[c] - (hit[a] - one[c]) / rest)
+                        found[c[gap >= MIN_PAIR_Z * np.sqrt(rate * (1 - rate) * (1 / all_[c] + 1 / rest))]] = True
+                    else:
+                        all_[a] = 0
+                        c = np.flatnonzero((all_ >= least) & ~telling)
+                        z = _gap(one[c], all_[c], toxic, n)
+                        c = c[(z >= MIN_PAIR_Z) & (z >= 2 * np.maximum(alone[a], alone[c]))]
+                        found[c] = True
+                        found[a] |= len(c) > 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found))], ["place"])
+
+    tasks = spark.range(0, PAIR_TASKS, 1, PAIR_TASKS)
+    return tasks.mapInArrow(count, "place long").distinct().toArrow().column(0).to_numpy()
 
 
 def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:

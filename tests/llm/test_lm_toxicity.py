@@ -121,6 +121,19 @@ def test_machine_learns_words_stems_and_pairs(spark, tmp_path):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_machine_learns_pairs_of_rarer_terms(spark, tmp_path):
+    """Over 512 neutral terms are commoner than those of the pairs; one pair
+    has a telling term beside a neutral one."""
+    add = ["zorp quax", "vile crew", "vile crew", "scum", "scum", "scum", "zorp", "quax", "vile", "crew", "crew", ""]
+    docs = [(i, t + " " + add[i % 12]) for i, t in enumerate(prose(5, 2400, words=300, vocabulary=400))]
+    path = write_docs(spark, str(tmp_path), docs)
+    write(spark, path, "labels", [(i, 0, int(i % 12 < 6)) for i, _ in docs], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.op2_toxicity(spark, path).collect() if r.held_out}
+    for kind in range(12):
+        right = np.mean([r.predicted == int(kind < 6) for i, r in got.items() if i % 12 == kind])
+        assert right > 0.9, (add[kind], right)
+
+
 def test_no_or_one_sided_labels(spark, tmp_path):
     path = write_docs(spark, str(tmp_path), awkward())
     write(spark, path, "labels", [(7, 0, None), (None, 1, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
