@@ -23,7 +23,7 @@ from barkeep.operators.checks import assert_passed, run_checks, verdicts
 from barkeep.operators.parse import parse_events, parse_payload
 from barkeep.schema import INTERVALS
 from barkeep.sources.actions import save_actions
-from barkeep.sources.bronze import (bronze_quarantine, land_bronze, landed_files, read_bronze,
+from barkeep.sources.bronze import (QUARANTINE, bronze_quarantine, keep_quarantine, land_bronze, landed_files, read_bronze,
                                     readable_bronze)
 from barkeep.sources.silver import (archive_versions, available, current_check_summary, load_bars,
                                     merge_into_silver, read_silver, write_silver)
@@ -31,7 +31,7 @@ from barkeep.sources.silver import (archive_versions, available, current_check_s
 
 def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
            silver_root: str, action_store: str | None = None, dry: bool = False,
-           summary_root: str | None = None) -> dict:
+           summary_root: str | None = None, quarantine_root: str | None = None) -> dict:
     """Land first, then derive. `payloads` carries (symbol, interval,
     fetched, payload). Bars are parsed from what was LANDED (read back from
     bronze, the durable copy), for the batch's (interval, fetched) keys
@@ -39,7 +39,9 @@ def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
     and (total, added) for actions. `dry` lands bronze and returns the
     parsed counts (rows per interval, events) without touching silver or
     the action store. With `summary_root`, the gates' kept summary is
-    refreshed for the dates each merge touched."""
+    refreshed for the dates each merge touched. Responses that do not parse
+    are named in `quarantine_root` (`_quarantine` under silver), not on a dry
+    run."""
     keyed = Observation()
     land_bronze(payloads.observe(keyed, F.collect_set(F.struct("interval", "fetched")).alias("keys")), bronze_root)
     # (interval, fetched) of this batch: a few grains x a few fetch days
@@ -53,6 +55,8 @@ def ingest(spark: SparkSession, payloads: DataFrame, bronze_root: str,
                                                              summary_root=summary_root)
         landed = batch if landed is None else landed.unionByName(batch)
     if landed is not None:
+        if not dry:
+            keep_quarantine(landed, quarantine_root or os.path.join(silver_root, QUARANTINE))
         events = parse_events(landed)
         if dry:
             out["events"] = events.count()

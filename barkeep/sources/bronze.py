@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from barkeep.schema import LANDED, PAYLOAD
 from barkeep.session import scratch_path
 
+#: Folder of the quarantine table beside the silver partitions.
+QUARANTINE = "_quarantine"
 _BULK = "part-*.json.gz"
 #: Every name that does not begin with `part-`.
 _SINGLE = "{[^p]*,p,p[^a]*,pa,pa[^r]*,par,par[^t]*,part,part[^-]*}.json.gz"
@@ -72,13 +74,32 @@ def read_bronze_files(spark: SparkSession, root: str, interval: str | None = Non
     df = (spark.read.schema("value string, interval string, fetched date").option("wholetext", "true")
                .option("basePath", root).option("pathGlobFilter", _SINGLE)
                .option("ignoreCorruptFiles", str(skip_damaged).lower()).text(root))
+    return _responses(_narrowed(df, interval, fetched_from))
+
+
+def _responses(files: DataFrame) -> DataFrame:
+    """One response per whole file."""
     name = F.col("_metadata.file_name")
-    return _narrowed(df, interval, fetched_from).select(
+    return files.select(
         F.regexp_replace(name, r"\.json\.gz$", "").alias("symbol"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("value").alias("payload"), F.col("_metadata.file_path").alias("path"), "interval", "fetched")
 
 
+def bronze_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S2 as a stream: landed responses of both layouts, told apart by file
+    name, with the `path` each came from; a micro-batch takes up to
+    `max_files_per_trigger` files of each layout."""
+    def reader(glob):
+        r = spark.readStream.option("basePath", root).option("pathGlobFilter", glob).option("ignoreCorruptFiles", "false")
+        return r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r
+
+    bulk = reader(_BULK).schema(LANDED).json(root).select(
+        "symbol", "landed_at", "payload", F.col("_metadata.file_path").alias("path"), "interval", "fetched")
+    single = reader(_SINGLE).schema("value string, interval string, fetched date").option("wholetext", "true").text(root)
+    return bulk.unionByName(_responses(single))
+
+
 def landed_files(spark: SparkSession, root: str, interval: str | None = None, fetched_from=None) -> DataFrame:
     """(path, interval, fetched) of every landed file, from the listing."""
     df = (spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.json.gz")
@@ -149,3 +170,14 @@ def bronze_quarantine(bronze: DataFrame) -> DataFrame:
         F.col("_p").isNull() | F.col("_p.chart").isNull()
     ).select(*cols, F.when(F.col("payload").isNull() | (F.trim("payload") == ""),
                            F.lit("empty")).otherwise(F.lit("not a chart payload")).alias("reason"))
+
+
+def keep_quarantine(bronze: DataFrame, root: str) -> None:
+    """S3: append the quarantine of `bronze` to the table at `root`; a
+    response met again is there again (`read_quarantine` gives it once)."""
+    bronze_quarantine(bronze).select("path", "symbol", "interval", "fetched", "reason").write.mode("append").parquet(root)
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """(path, symbol, interval, fetched, reason) of every response kept out."""
+    return spark.read.schema("path string, symbol string, interval string, fetched date, reason string").parquet(root).distinct()

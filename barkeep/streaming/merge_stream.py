@@ -8,7 +8,8 @@ late data is always accepted - no watermark, no state store. Bars keep the
 fetch they came from in silver, so the answer does not depend on how the
 files fall into micro-batches. A damaged file stops the query, which names
 it, and its micro-batch is not recorded as done; `readable_bronze` and
-`rebuild_silver` set such files aside. Progress is checkpointed under the
+`rebuild_silver` set such files aside. A response that is no chart payload
+is named in the quarantine table before its micro-batch is merged. Progress is checkpointed under the
 cluster's shared `spark.checkpoint.dir`.
 """
 
@@ -20,33 +21,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barkeep.operators.parse import parse_payload
-from barkeep.schema import LANDED
 from barkeep.session import ensure_checkpoint_dir
+from barkeep.sources.bronze import QUARANTINE, bronze_stream, keep_quarantine
 from barkeep.sources.silver import merge_into_silver
 
 
-def bronze_stream(spark: SparkSession, bronze_root: str,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed responses as a stream (JSON lines, partition columns from the
-    interval=/fetched= folders)."""
-    r = spark.readStream.schema(LANDED).option("basePath", bronze_root).option("ignoreCorruptFiles", "false")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(bronze_root)
-
-
 def stream_merge(spark: SparkSession, bronze_root: str, silver_root: str,
                  name: str = "bronze-to-silver", checkpoint: str | None = None,
                  available_now: bool = True,
                  max_files_per_trigger: int | None = None,
-                 summary_root: str | None = None) -> StreamingQuery:
+                 summary_root: str | None = None,
+                 quarantine_root: str | None = None) -> StreamingQuery:
     """Start the incremental merge. `available_now` processes everything
     landed so far in bounded micro-batches, then stops (a nightly run);
     otherwise it keeps polling every minute. With `summary_root`, the
-    gates' kept summary is refreshed for each batch's dates."""
+    gates' kept summary is refreshed for each batch's dates. Responses that
+    do not parse go to `quarantine_root` (`_quarantine` under silver)."""
+    aside = quarantine_root or os.path.join(silver_root, QUARANTINE)
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream", name)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        keep_quarantine(batch, aside)
         # every grain of the batch, a few values
         for (iv,) in sorted(batch.select("interval").distinct().collect()):
             merge_into_silver(parse_payload(batch.where(batch["interval"] == iv)), silver_root, iv,

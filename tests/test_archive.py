@@ -311,6 +311,27 @@ def test_rebuild_reads_single_files_and_fails_when_nothing_is_read(spark, scratc
     assert [r.path.rsplit("/", 1)[1] for r in done.quarantine.collect()] == ["BAD.json.gz"]
 
 
+def test_stream_and_ingest_name_what_they_cannot_parse(spark, scratch):
+    import gzip
+    from barkeep.sources.bronze import read_quarantine
+    bronze, silver = os.path.join(scratch, "bronze"), os.path.join(scratch, "silver")
+    ingest(spark, _bronze_df(spark, [("tcs", "1m", "2026-08-18", _payload("2026-08-18", ["10:00"], 10)),
+                                     ("bad", "1m", "2026-08-18", "{not json")]), bronze, silver)
+    folder = os.path.join(bronze, "interval=1m", "fetched=2026-08-18")
+    for sym, text in (("infy", _payload("2026-08-18", ["10:00"], 20)), ("party", "<html>")):
+        with gzip.open(os.path.join(folder, sym + ".json.gz"), "wt") as f:
+            f.write(text)
+    named = read_quarantine(spark, os.path.join(silver, "_quarantine")).collect()
+    assert [(r.symbol, r.interval, r.fetched, r.reason) for r in named] == [
+        ("bad", "1m", dt.date(2026, 8, 18), "not a chart payload")] and "/part-" in named[0].path
+    silver2 = os.path.join(scratch, "silver2")
+    for ck in ("a", "b"):                         # a replay names nothing twice
+        stream_merge(spark, bronze, silver2, name="both" + ck, checkpoint=os.path.join(scratch, ck)).awaitTermination(120)
+    assert sorted((r.symbol, r.o) for r in load_bars(spark, silver2, "1m").collect()) == [("INFY", 20.0), ("TCS", 10.0)]
+    named = read_quarantine(spark, os.path.join(silver2, "_quarantine")).collect()
+    assert sorted((r.symbol, r.path.rsplit("/", 1)[1][:5]) for r in named) == [("bad", "part-"), ("party", "party")]
+
+
 def test_newest_fetch_wins_in_every_order(spark, make_bars, scratch):
     import itertools
     base = make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 5), ("B", "2026-08-18", "10:00", 1, 1, 1, 1, 5)])
