@@ -40,6 +40,32 @@ def sampled(id_col: Column, rows: int, bound: int, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 30)) < int((1 << 30) * bound / rows)
 
 
+#: Keys that hold more than 1/HOT of all rows: there are fewer than HOT of them.
+HOT = 4096
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Inner null-safe join of `rows` with `keyed` (one row per key, `weight`
+    = how many of the rows have it). Keys of more than 1/HOT of all rows,
+    fewer than HOT of them, are broadcast, so a hot key stays where its rows
+    are; the rest, whose groups are small, is shuffled. `keyed` is read more
+    than once: store it before."""
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    side = keyed.select(*[F.col(c).alias("__key_" + c) for c in on], *[c for c in keyed.columns if c not in on])
+
+    def same(other: DataFrame) -> Column:
+        out = F.lit(True)
+        for c in on:
+            out = out & rows[c].eqNullSafe(other["__key_" + c])
+        return out
+
+    hot = F.broadcast(side.where(F.col(weight) * HOT > total))
+    cold = side.where(F.col(weight) * HOT <= total)
+    rest = rows.join(hot, same(hot), "left_anti")
+    return (rows.join(hot, same(hot)).unionByName(rest.join(cold, same(cold)))
+            .drop(*["__key_" + c for c in on]))
+
+
 # --- vectorised hashing -------------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -16,13 +16,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute("CREATE VIEW %s AS SELECT * FROM read_parquet('%s/%s.parquet')" % (t, SF, t))
     df = QUERIES[name](spark, SF)
     cur = con.execute(ORACLES[name])
