@@ -2,9 +2,9 @@
 
 Each source gets a share of all words by its weight, held to a number of
 epochs; whole epochs of it are taken first. The budget that remains is fitted
-on the exact counts of documents by length: every length gives its share
-first, longer ones then fill up, and a bounded knapsack (dynamic programming
-over reachable sums) closes what is left, to the word where a sum exists.
+on the exact counts of documents by length: a bounded knapsack (dynamic
+programming over reachable sums) has all of a small budget and the last ROOM
+words or more of a large one, of which every length gave its share before.
 Which documents of a length are taken is seeded by their id.
 
 Only counts by (source, length) meet in one task. The choice within a length
@@ -14,20 +14,24 @@ holds most rows is still spread over BUCKETS tasks.
 
 Edge cases: a null text has no words; a null source is a source of its own,
 last in order; documents without words take nothing; repeated rows count each
-(equal ids are interchangeable); ties of the hash go by id; an empty table
-gives an empty result; columns of the input pass through.
+(equal ids are interchangeable); ties of the hash go by id; texts of any
+length are counted whole; an empty table gives an empty result; columns of the
+input, whatever their names, pass through in `doc`.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barkeep.llm.common import stored
 
 WEIGHTS, EPOCHS, BUCKETS, SEED = (1, 2, 3), 3, 256, 11
-#: Budget left to the knapsack, in words: bounds its table.
-ROOM = 1 << 15
+#: Budget left to the knapsack at first and at most, in words: bounds its table.
+ROOM, MOST = 1 << 15, 1 << 24
 
 
 def words(text: Column) -> Column:
@@ -55,48 +59,79 @@ def targets(sizes: dict[str | None, int], weights=WEIGHTS, epochs: int = EPOCHS)
     return out
 
 
-def fitted(counts: dict[int, int], budget: int) -> dict[int, int]:
-    """How many documents of each length to take, so that their words come to
-    `budget` or as near below it as the counts allow."""
-    total = sum(k * n for k, n in counts.items())
-    take = {k: min(n, n * budget // total) if total and k else 0 for k, n in counts.items()}
-    left = budget - sum(k * n for k, n in take.items())
-    for k in sorted(counts, reverse=True):
-        if k and left > ROOM:
-            more = min(counts[k] - take[k], (left - ROOM) // k)
-            take[k] += more
-            left -= more * k
-    reach, mask, steps = 1, (1 << (left + 1)) - 1, []
+def reachable(counts: dict[int, int], goal: int) -> dict[int, int]:
+    """Bounded knapsack: how many of each length to take so that their words
+    come to the largest reachable sum up to `goal`. A length's count is cut
+    into powers of two; each reachable sum keeps the step that first made it,
+    from which the choice is read back."""
+    held, first = np.zeros(goal + 1, bool), np.zeros(goal + 1, np.int32)
+    held[0], steps = True, []
     for k in sorted(counts, reverse=True):
-        spare, part = counts[k] - take[k], 1
-        while k and spare and not reach >> left & 1:
+        spare, part = counts[k], 1
+        while spare and not held[goal]:
             part = min(part, spare)
-            if part * k > left:
+            if part * k > goal:
                 break
-            steps.append((reach, k, part))
-            reach |= reach << part * k & mask
+            fresh = np.flatnonzero(held[:goal + 1 - part * k] & ~held[part * k:]) + part * k
+            held[fresh], first[fresh] = True, len(steps)
+            steps.append((k, part))
             spare -= part
             part *= 2
-    at = reach.bit_length() - 1
-    for before, k, part in reversed(steps):
-        if not before >> at & 1:
-            take[k] += part
-            at -= part * k
+    take, at = dict.fromkeys(counts, 0), int(np.flatnonzero(held)[-1])
+    while at:
+        k, part = steps[first[at]]
+        take[k] += part
+        at -= part * k
     return take
 
 
+def fitted(counts: dict[int, int], budget: int) -> dict[int, int]:
+    """How many documents of each length to take, so that their words come to
+    the largest reachable sum up to `budget`.
+
+    All but `room` words are dealt in proportion, the knapsack fits the rest.
+    No sum passes the largest multiple of the lengths' common divisor; while
+    that is missed, more of the share is given back to the knapsack, up to all
+    of it or to MOST words (then the nearest sum found stands). Up to ROOM
+    words the knapsack has everything and is exact."""
+    own = {k: n for k, n in counts.items() if k and n}
+    total = sum(k * n for k, n in own.items())
+    goal = min(budget, total)
+    goal -= goal % gcd(*own) if own else 0
+    best, room = dict.fromkeys(counts, 0), ROOM
+    while own:
+        dealt = max(goal - room, 0)
+        take = {k: n * dealt // total for k, n in own.items()}
+        left = goal - sum(k * n for k, n in take.items())
+        for k in sorted(own, reverse=True):  # what rounding left over, longer ones first
+            more = max(min(own[k] - take[k], (left - room) // k), 0)
+            take[k] += more
+            left -= more * k
+        for k, n in reachable({k: n - take[k] for k, n in own.items()}, left).items():
+            take[k] += n
+            left -= k * n
+        if goal - left > sum(k * n for k, n in best.items()):
+            best = dict.fromkeys(counts, 0) | take
+        if not left or not dealt or room >= MOST:
+            break
+        room *= 8
+    return best
+
+
 def mixed(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """The input's columns and __size, __source_size, __target, __copies."""
+    """doc (the input's row as a struct, so that no name can clash), size,
+    source_size, target, copies."""
     name = docs["source"].cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    rows = docs.withColumns({
-        "__source": F.when(name.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), name)),  # joins find null too
-        "__size": words(docs["text"]), "__hash": place, "__bucket": F.pmod(place, F.lit(BUCKETS)).cast("int")})
-    cell = ["__source", "__size", "__bucket"]
-    cells = stored(rows.groupBy(*cell).agg(F.count("*").alias("__n")), "mix-counts")
-    lengths = cells.groupBy("__source", "__size").agg(F.sum("__n").alias("__n"))
+    place = F.xxhash64(F.lit(seed), docs["doc_id"])
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"),
+        F.when(name.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), name)).alias("source"),  # joins find null too
+        words(docs["text"]).alias("size"), place.alias("hash"), F.pmod(place, F.lit(BUCKETS)).cast("int").alias("bucket"))
+    cell = ["source", "size", "bucket"]
+    cells = stored(rows.groupBy(*cell).agg(F.count("*").alias("n")), "mix-counts")
+    lengths = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
     # One row per source reaches the driver: a mix names its sources anyway.
-    sizes = {(None if r[0] == "-" else r[0][1:]): int(r[1]) for r in lengths.groupBy("__source").agg(F.sum(F.col("__n") * F.col("__size"))).collect()}
+    sizes = {(None if r[0] == "-" else r[0][1:]): int(r[1]) for r in lengths.groupBy("source").agg(F.sum(F.col("n") * F.col("size"))).collect()}
     target = targets(sizes, weights, epochs)
 
     def plan(key, frame):
@@ -104,24 +139,23 @@ def mixed(docs: DataFrame, seed: int = SEED, weights=WEIGHTS, epochs: int = EPOC
         source = None if key[0] == "-" else key[0][1:]
         size, aim = sizes[source], target[source]
         whole = min(epochs, int(aim // size)) if size else 0
-        counts = dict(zip(frame["__size"].astype(int).tolist(), frame["__n"].astype(int).tolist()))
+        counts = dict(zip(frame["size"].astype(int).tolist(), frame["n"].astype(int).tolist()))
         take = fitted(counts, round(aim - whole * size)) if size else dict.fromkeys(counts, 0)
-        return pd.DataFrame({"__source": key[0], "__size": list(take), "__source_size": size, "__target": float(aim),
-                             "__whole": whole, "__take": list(take.values())})
+        return pd.DataFrame({"source": key[0], "size": list(take), "source_size": size, "target": float(aim),
+                             "whole": whole, "take": list(take.values())})
 
-    plans = lengths.groupBy("__source").applyInPandas(
-        plan, "__source string, __size long, __source_size long, __target double, __whole long, __take long")
-    before = F.sum("__n").over(Window.partitionBy("__source", "__size").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    edges = cells.join(plans, ["__source", "__size"]).withColumn("__take", F.col("__take") - F.coalesce(before, F.lit(0)))
-    ranked = rows.join(edges.drop("__n"), cell).withColumn(
-        "__rank", F.row_number().over(Window.partitionBy(*cell).orderBy("__hash", "doc_id")))
-    return ranked.withColumn("__copies", F.col("__whole") + (F.col("__rank") <= F.col("__take")).cast("long")).select(
-        *docs.columns, "__size", "__source_size", "__target", "__copies")
+    plans = lengths.groupBy("source").applyInPandas(
+        plan, "source string, size long, source_size long, target double, whole long, take long")
+    before = F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    edges = cells.join(plans, ["source", "size"]).withColumn("take", F.col("take") - F.coalesce(before, F.lit(0)))
+    ranked = rows.join(edges.drop("n"), cell).withColumn(
+        "rank", F.row_number().over(Window.partitionBy(*cell).orderBy("hash", "id")))
+    return ranked.select("doc", "size", "source_size", "target",
+                         (F.col("whole") + (F.col("rank") <= F.col("take")).cast("long")).alias("copies"))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     """Words taken of every document for the mix."""
     from barkeep.llm.common import table
     out = mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
-                      F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"))
+    return out.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -22,16 +22,39 @@ def test_targets_follow_weights_and_caps():
 
 def test_fitting_reaches_every_reachable_budget():
     rng = random.Random(1)
-    for _ in range(60):
-        counts = {k: rng.randint(1, 3) for k in rng.sample(range(1, 12), rng.randint(1, 4))}
+    cases = [{7: 2, 10: 2}, {3: 4, 5: 3}, {6: 3, 9: 2, 20: 1}, {4: 3, 6: 2}, {0: 5, 3: 2}]
+    cases += [{k: rng.randint(1, 3) for k in rng.sample(range(1, 12), rng.randint(1, 4))} for _ in range(60)]
+    for counts in cases:
         sums = {sum(k * n for k, n in zip(counts, c)) for c in itertools.product(*(range(n + 1) for n in counts.values()))}
-        for budget in range(sum(k * n for k, n in counts.items()) + 1):
+        for budget in range(sum(k * n for k, n in counts.items()) + 3):
             take = mixing.fitted(counts, budget)
-            assert all(0 <= take[k] <= counts[k] for k in counts)
-            got = sum(k * n for k, n in take.items())
-            assert got <= budget
-            # The first share is proportional; the rest is fitted exactly to it.
-            assert budget - got < max(counts) or got == max(s for s in sums if s <= budget)
+            assert set(take) == set(counts) and all(0 <= take[k] <= counts[k] for k in counts)
+            assert sum(k * n for k, n in take.items()) == max(s for s in sums if s <= budget), (counts, budget)
+
+
+@pytest.mark.parametrize("room", [1, 3, 9])
+def test_share_is_given_back_until_the_sum_is_met(monkeypatch, room):
+    monkeypatch.setattr(mixing, "ROOM", room)
+    rng = random.Random(5)
+    for _ in range(300):
+        counts = {k: rng.randint(1, 4) for k in rng.sample(range(1, 14), rng.randint(1, 4))}
+        sums = {sum(k * n for k, n in zip(counts, c)) for c in itertools.product(*(range(n + 1) for n in counts.values()))}
+        budget = rng.randint(0, max(sums))
+        assert sum(k * n for k, n in mixing.fitted(counts, budget).items()) == max(s for s in sums if s <= budget)
+
+
+def test_a_source_is_fitted_to_the_word(spark, tmp_path):
+    docs = [(i, " ".join(["w"] * n), None, "a") for i, n in enumerate([7, 7, 10, 10])]
+    docs += [(10 + i, "w " * n, None, "b") for i, n in enumerate([9, 9, 8])]       # a: 20 of 60 words, b: 40 (once, then 14)
+    got = mixed_rows(spark, write_docs(spark, str(tmp_path), docs))
+    assert sum(r[4] for r in got if r[0] < 10) == 20 and sum(r[4] for r in got if r[0] >= 10) == 26 + 9
+
+
+def test_names_of_the_input_never_clash(spark):
+    rows = [(i, "w " * (i % 5), "s", 8, 9, 1, 2, 3, 4) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, n long, bucket int, doc int, take long, id long")
+    got = mixing.mixed(docs).select("doc.*").collect()
+    assert sorted(map(tuple, got)) == sorted(rows)
 
 
 @pytest.mark.parametrize("room", [mixing.ROOM, 50])
