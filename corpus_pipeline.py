@@ -54,8 +54,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: none to three times."""
-    return mixing.mixed(docs).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    """Each document as often as the mix takes it: none to three times. A null
+    text and one without words are taken by no mix; repeated rows count each."""
+    out = mixing.mixed(docs).select("doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return out.select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
