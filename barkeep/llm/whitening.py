@@ -1,10 +1,11 @@
 """Embedding whitening: leading eigenvectors of the covariance by
 Chebyshev-filtered subspace iteration.
 
-Vectors become integers and each distinct one counts once. The covariance is
+Vectors become integers and each distinct one counts once. They are packed once
+into rows of some thousand vectors, which every pass reads. The covariance is
 never formed: one pass multiplies it with a block Q of BLOCK directions,
-centring every vector before multiplying (X'XQ, summed per task and then by
-Spark; the driver holds width x BLOCK numbers). A Chebyshev polynomial of
+centring every vector before multiplying (X'XQ, summed per task, then over at
+most GROUPS groups of tasks; the driver adds those: width x BLOCK numbers each). A Chebyshev polynomial of
 degree m, by its three-term recurrence, needs m such passes and damps the
 eigenvalues of the unwanted interval [0, least Ritz value of the block]. Then
 QR and a Rayleigh-Ritz step, until every wanted pair is certified by its
@@ -23,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +33,12 @@ from pyspark.sql import functions as F
 from barkeep.llm.codes import integers, matrix
 from barkeep.llm.common import stored, table
 
-COMPONENTS, BLOCK = 4, 32
+COMPONENTS, BLOCK, GROUPS = 4, 48, 64
+#: Bytes of vectors packed into one row.
+PACK = 1 << 22
 #: Residual of a certified pair, relative to the largest eigenvalue, and the
 #: one below which a round that brings nothing more ends the iteration.
-TIGHT, CERTIFIED, MAX_ROUNDS = 1e-14, 1e-11, 60
+TIGHT, CERTIFIED, MAX_ROUNDS = 1e-13, 1e-11, 60
 #: Damping asked of one filter, and its highest degree.
 DAMPING, MAX_DEGREE = 1e4, 24
 #: Eigenvalues below this share of the largest are rounding.
@@ -84,22 +88,54 @@ def vectors_of(rows: DataFrame) -> DataFrame:
     return integers(rows).select("vec_id", held.alias("x"))
 
 
-def _summed(df: DataFrame, fn, rows: int, columns: int) -> np.ndarray:
-    """Sum of the rows x columns matrices that `fn` makes of each task's
-    x column: one row per (task, matrix row) goes through the shuffle."""
+def fit_list(vectors: DataFrame) -> tuple[DataFrame, int]:
+    """(the distinct rows of `vectors` packed into matrices, width), stored."""
+    width = vectors.agg(F.max(F.size("x"))).first()[0] or 0
+
+    def pack(batches):
+        import pyarrow as pa
+        step = max(1, PACK // (8 * max(width, 1)))
+        for b in batches:
+            x = matrix(b.column(0), width)
+            for lo in range(0, len(x), step):
+                part = x[lo:lo + step]
+                top = int(np.abs(part).max(initial=0))
+                kind = "<i2" if top < 1 << 15 else "<i4" if top < 1 << 31 else "<i8"
+                yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([part.astype(kind).tobytes()], pa.binary())], ["kind", "data"])
+
+    packed = vectors.select("x").distinct().mapInArrow(pack, "kind string, data binary")
+    return stored(packed, "whitening-fit"), width
+
+
+def _matrices(batches, width: int):
+    for b in batches:
+        for kind, data in zip(b.column(0).to_pylist(), b.column(1)):
+            yield np.frombuffer(data.as_buffer(), kind).reshape(-1, width)
+
+
+def _summed(fit: DataFrame, width: int, fn, rows: int, columns: int) -> np.ndarray:
+    """Sum over all packed matrices of the rows x columns matrix `fn` makes of
+    one: per task, then per group of tasks, then here."""
     def task(batches):
+        import pyarrow as pa
+        total = np.zeros((rows, columns))
+        for x in _matrices(batches, width):
+            total += fn(x)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
+
+    def add(batches):
         import pyarrow as pa
         total = np.zeros((rows, columns))
         for b in batches:
-            if b.num_rows:
-                total += fn(b.column(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(rows, dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64()))], ["i", "y"])
+            for m in b.column(0):
+                total += np.frombuffer(m.as_buffer()).reshape(rows, columns)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
 
-    part = df.select("x").mapInArrow(task, "i int, y array<double>")
-    got = part.groupBy("i").agg(*[F.sum(F.col("y")[j]).alias("y%d" % j) for j in range(columns)]).collect()
+    parts = fit.mapInArrow(task, "m binary")
+    groups = min(GROUPS, isqrt(fit.rdd.getNumPartitions()))
     out = np.zeros((rows, columns))
-    for r in got:
-        out[r[0]] = r[1:]
+    for r in (parts.repartition(groups).mapInArrow(add, "m binary") if groups > 2 else parts).collect():
+        out += np.frombuffer(r[0]).reshape(rows, columns)
     return out
 
 
@@ -108,20 +144,18 @@ def _moments(fit: DataFrame, width: int) -> tuple[int, list[int], float]:
     def task(batches):
         import pyarrow as pa
         n, s, q = 0, [0] * width, [0] * width
-        for b in batches:
-            x = matrix(b.column(0), width)
+        for x in _matrices(batches, width):
             n += len(x)
-            if len(x):
-                wide = len(x) * int(np.abs(x).max(initial=0)) ** 2 >= 1 << 62
-                y = x.astype(object) if wide else x
-                s = [a + int(v) for a, v in zip(s, y.sum(0))]
-                q = [a + int(v) for a, v in zip(q, (y * y).sum(0))]
+            wide = len(x) * int(np.abs(x.astype(np.int64)).max(initial=0)) ** 2 >= 1 << 62
+            y = x.astype(object if wide else np.int64)
+            s = [a + int(v) for a, v in zip(s, y.sum(0))]
+            q = [a + int(v) for a, v in zip(q, (y * y).sum(0))]
         names = np.arange(width + 1, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([str(v) for v in [*s, n]]), pa.array([str(v) for v in [*q, n]])],
                                          ["i", "s", "q"])
 
     # Exact integers travel as text; a place's sums of all tasks meet as decimals.
-    got = fit.select("x").mapInArrow(task, "i int, s string, q string").groupBy("i").agg(
+    got = fit.mapInArrow(task, "i int, s string, q string").groupBy("i").agg(
         F.sum(F.col("s").cast("decimal(38,0)")).alias("s"), F.sum(F.col("q").cast("decimal(38,0)")).alias("q")).collect()
     s, q = [0] * (width + 1), [0] * (width + 1)
     for r in got:
@@ -132,29 +166,23 @@ def _moments(fit: DataFrame, width: int) -> tuple[int, list[int], float]:
     return n, s, trace
 
 
-def distinct_vectors(vectors: DataFrame) -> DataFrame:
-    """The fit list: each distinct x once, stored."""
-    return stored(vectors.select("x").distinct(), "whitening-fit")
-
-
-def fit_whitener(fit: DataFrame, components: int = COMPONENTS, block: int = BLOCK, seed: int = 12) -> Whitener:
-    """Leading components of a fit list (x, each vector once)."""
-    width = fit.agg(F.max(F.size("x"))).first()[0] or 0
-    n, sums, trace = _moments(fit, width) if width else (fit.count(), [], 0.0)
+def fit_whitener(fit: DataFrame, width: int, components: int = COMPONENTS, block: int = BLOCK, seed: int = 12) -> Whitener:
+    """Leading components of a packed fit list."""
+    n, sums, trace = _moments(fit, width) if width else (0, [], 0.0)
     if not n or trace <= 0:
         return Whitener(n, sums, np.zeros((width, 0)), np.zeros(0), trace, 0.0, 0)
-    passes = 0
+    passes, mean = 0, np.array([t / n for t in sums])
 
     def product(q: np.ndarray) -> np.ndarray:
         """V q: one pass, every vector centred before it is multiplied."""
         nonlocal passes
         passes += 1
 
-        def fn(column):
-            c = centred(matrix(column, width), n, sums)
+        def fn(x):
+            c = x - mean
             return c.T @ (c @ q)
 
-        return _summed(fit, fn, width, q.shape[1]) / n
+        return _summed(fit, width, fn, width, q.shape[1]) / n
 
     k = min(width, block)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, k)))[0]
@@ -195,18 +223,18 @@ def _filtered(product, q, vq, top: float, wanted: float, cut: float) -> np.ndarr
     return now
 
 
-def identity_error(fit: DataFrame, w: Whitener) -> float:
+def identity_error(fit: DataFrame, width: int, w: Whitener) -> float:
     """Largest absolute entry of the whitened fit list's covariance minus
     the identity."""
-    width, m = w.vectors.shape
+    m = len(w.values)
     if not m:
         return 0.0
 
-    def fn(column):
-        y = np.hstack([w.project(matrix(column, width)), np.ones((len(column), 1))])
+    def fn(x):
+        y = np.hstack([w.project(x.astype(np.int64)), np.ones((len(x), 1))])
         return y.T @ y
 
-    s = _summed(fit, fn, m + 1, m + 1)
+    s = _summed(fit, width, fn, m + 1, m + 1)
     mean = s[:m, m] / s[m, m]
     return float(np.abs(s[:m, :m] / s[m, m] - np.outer(mean, mean) - np.eye(m)).max())
 
@@ -214,10 +242,10 @@ def identity_error(fit: DataFrame, w: Whitener) -> float:
 def whitened(rows: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """A row per kept row of `rows` (vec_id, embedding) and component."""
     kept = stored(vectors_of(rows), "whitening-rows")
-    fit = distinct_vectors(kept)
-    w = fit_whitener(fit, components)
-    error = identity_error(fit, w)
-    width, m = w.vectors.shape
+    fit, width = fit_list(kept)
+    w = fit_whitener(fit, width, components)
+    error = identity_error(fit, width, w)
+    m = len(w.values)
     names = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
     schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
     explained = w.values / w.trace if m else w.values

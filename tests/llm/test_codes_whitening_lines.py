@@ -151,7 +151,7 @@ def test_op12_matches_eigh(spark, tmp_path, seed, width):
 
 def test_whitener_is_certified_by_passes_and_not_by_a_covariance(spark, tmp_path):
     path = write_vectors(spark, str(tmp_path), vector_rows(9, 300, 64))
-    w = whitening.fit_whitener(whitening.distinct_vectors(whitening.vectors_of(table(spark, path, "embeddings"))))
+    w = whitening.fit_whitener(*whitening.fit_list(whitening.vectors_of(table(spark, path, "embeddings"))))
     assert w.passes > 2 and w.residual < 1e-11
     assert np.abs(w.vectors.T @ w.vectors - np.eye(4)).max() < 1e-12
 
