@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barkeep.operators.actions import action_factors, rescale
 from barkeep.operators.candles import fold_bars
-from barkeep.schema import BAR_COLS, BOARD_CANDLES, BOARD_SPECS
+from barkeep.schema import BAR_COLS, BOARD_CANDLES, BOARD_SPECS, interval_minutes
+from barkeep.session import scratch_path
+from barkeep.sources.silver import available, current_check_summary, load_bars
 
 
 def board_spec(days: int):
@@ -68,6 +70,12 @@ def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int
         tagged = in_range(bars1, 1).unionByName(tagged)
 
     d = tagged.groupBy("symbol", "date", "src_minutes").agg(F.count("*").alias("_n"))
+    return tagged, _decided(d, actions, days, last_date)
+
+
+def _decided(d: DataFrame, actions: DataFrame, days: int, last_date) -> DataFrame:
+    """The day table (symbol, date, src_minutes, _n) of a range narrowed to
+    what the board draws, with each row's step and factor."""
     per_sym = Window.partitionBy("symbol")
     # The finest grain a symbol has anywhere in range
     d = d.withColumn("_best", F.min("src_minutes").over(per_sym)) \
@@ -82,8 +90,16 @@ def board_days(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int
     d = d.select("symbol", "date", "src_minutes", "step")
     # J1 factors on the same small table
     f = action_factors(d.select("symbol", "date"), actions, last_date)
-    d = d.join(f, ["symbol", "date"], "left")
-    return tagged, d
+    return d.join(f, ["symbol", "date"], "left")
+
+
+def _drawn(tagged: DataFrame, d: DataFrame) -> DataFrame:
+    """Bars of the day table's rows, adjusted, then folded by their step."""
+    b = rescale(tagged.join(d, ["symbol", "date", "src_minutes"]), "factor")
+    # The fold's groups carry the join's keys and reuse its layout.
+    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes"))
+    folded = fold_bars(b, F.col("step"))
+    return folded.select("symbol", "date", "ts", "o", "h", "l", "c", "v", "minutes")
 
 
 def board(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
@@ -99,8 +115,36 @@ def board(bars1: DataFrame, bars5: DataFrame, actions: DataFrame, days: int,
         bars5 = bars5.where(F.col("symbol") == sym)
     end = _as_date(upto) if upto is not None else None
     tagged, d = board_days(bars1, bars5, actions, days, end, source)
-    b = rescale(tagged.join(d, ["symbol", "date", "src_minutes"]), "factor")
-    # The fold's groups carry the join's keys and reuse its layout.
-    b = b.withColumn("minutes", F.col("step") * F.col("src_minutes"))
-    folded = fold_bars(b, F.col("step"))
-    return folded.select("symbol", "date", "ts", "o", "h", "l", "c", "v", "minutes")
+    return _drawn(tagged, d)
+
+
+def board_of_archive(spark: SparkSession, silver_root: str, summary_root: str, actions: DataFrame, days: int,
+                     upto=None, symbol: str | None = None) -> DataFrame:
+    """C1 from an archive with a kept summary. The day table is the gates'
+    summary (a row per symbol and session with its bar count), kept per date
+    with the version of the date it was made from and brought up to date
+    first, so no bar is read to decide what to draw. The decided rows, at most
+    `days` a symbol, are stored; the bars are then scanned once per grain, in
+    a literal range of dates."""
+    _d, _target, source = board_spec(days)
+    grains = ("1m", "5m") if source == "1m" else ("5m",)
+    held = [d for iv in grains for d in available(spark, silver_root, iv)]
+    if upto is None and not held:
+        end = dt.date(1970, 1, 1)                         # nothing is held: no row is drawn
+    else:
+        end = _as_date(upto) if upto is not None else max(held)
+    start = end - dt.timedelta(days=days * 2 + 10)
+    table = tagged = None
+    for iv in grains:
+        minutes = F.lit(interval_minutes(iv)).alias("src_minutes")
+        d = current_check_summary(spark, silver_root, summary_root, iv).where(F.col("date").between(F.lit(start), F.lit(end)))
+        b = load_bars(spark, silver_root, iv, symbol=symbol, since=start, upto=end).select(*BAR_COLS, "date", minutes)
+        if symbol:
+            d = d.where(F.col("symbol") == symbol.upper())
+        d = d.select("symbol", "date", minutes, F.col("n").alias("_n"))
+        table = d if table is None else table.unionByName(d)
+        tagged = b if tagged is None else tagged.unionByName(b)
+    path = scratch_path(spark, "board-days")
+    decided = _decided(table, actions, days, F.lit(end))
+    decided.write.parquet(path)
+    return _drawn(tagged, spark.read.schema(decided.schema).parquet(path))

@@ -239,6 +239,10 @@ def q_check_fresh(spark, sf):
     return K.check_fresh(_b1(spark, sf), AS_OF)
 
 
+def q_session_gaps(spark, sf):
+    return K.session_gaps(_faulty(spark, sf), "1m")
+
+
 def q_run_checks(spark, sf):
     faulty = K.run_checks(_faulty(spark, sf), "1m", as_of=AS_OF)
     clean5 = K.run_checks(_b5(spark, sf), "5m", as_of=AS_OF)
@@ -291,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_no_volume": q_check_no_volume,
     "check_reach": q_check_reach,
     "check_fresh": q_check_fresh,
+    "session_gaps": q_session_gaps,
     "run_checks": q_run_checks,
     "run_checks_day": q_run_checks_day,
     "run_checks_wide": q_run_checks_wide,

@@ -77,22 +77,27 @@ BAR_CSV = T.StructType(BAR.fields + [T.StructField("d", T.DateType())])
 # from the folder names.
 LANDED = "symbol string, landed_at timestamp, payload string, interval string, fetched date"
 
-# The upstream chart payload. Split and dividend numbers are kept as
-# strings so their text survives into the action subject.
+# The upstream chart payload. Split and dividend numbers and dates are kept
+# as strings, so their text survives into the action subject and a number that
+# arrives as text is no error.
 _QUOTE = T.StructType([
     T.StructField(name, T.ArrayType(T.DoubleType()))
     for name in ("open", "high", "low", "close", "volume")
 ])
 _SPLIT = T.StructType([
-    T.StructField("date", T.LongType()),
+    T.StructField("date", T.StringType()),
     T.StructField("numerator", T.StringType()),
     T.StructField("denominator", T.StringType()),
     T.StructField("splitRatio", T.StringType()),
 ])
 _DIVIDEND = T.StructType([
-    T.StructField("date", T.LongType()),
+    T.StructField("date", T.StringType()),
     T.StructField("amount", T.StringType()),
 ])
+EVENTS = T.StructType([
+    T.StructField("splits", T.MapType(T.StringType(), _SPLIT)),
+    T.StructField("dividends", T.MapType(T.StringType(), _DIVIDEND)),
+])
 PAYLOAD = T.StructType([
     T.StructField("chart", T.StructType([
         T.StructField("result", T.ArrayType(T.StructType([
@@ -100,10 +105,7 @@ PAYLOAD = T.StructType([
             T.StructField("indicators", T.StructType([
                 T.StructField("quote", T.ArrayType(_QUOTE)),
             ])),
-            T.StructField("events", T.StructType([
-                T.StructField("splits", T.MapType(T.StringType(), _SPLIT)),
-                T.StructField("dividends", T.MapType(T.StringType(), _DIVIDEND)),
-            ])),
+            T.StructField("events", EVENTS),
         ]))),
     ])),
 ])

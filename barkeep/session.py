@@ -8,7 +8,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Settings the library relies on. AQE re-plans joins from runtime sizes
 # (its broadcast conversion is a size check with a sort-merge fallback);
@@ -72,5 +73,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return "%s/%s-%s" % (base, name, uuid.uuid4().hex)
 
 
+def observed(seen: Observation) -> dict:
+    """The metrics of an observation; empty where the plan was found to have
+    no rows before it ran, so that nothing was observed."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, "%s.parquet" % name)

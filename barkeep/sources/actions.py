@@ -1,16 +1,23 @@
 """Corporate-action store and feed I/O (S9, S10, S11, S12 input side).
 
-The store is a parquet table of `schema.ACTION` rows, one directory per
-version; the newest committed version is current, so a reader never sees
-a half-written store and a failed save leaves the old one.
+The store is a parquet table of `schema.ACTION` rows. A version is a folder of
+data (`data-<uuid>`) and a small file `version-<n>` that names it; the highest
+named one is current. A save writes its data first and then claims the next
+number by creating that file, which only one of several writers can do; one
+that loses merges again with what won and tries the next number. So a reader
+never sees a half-written store, a failed save leaves the old one, and no
+concurrent save drops another's additions. All but the last KEEP versions are
+removed after a commit.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,46 +31,116 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _current(spark: SparkSession, store: str) -> str | None:
-    """Newest committed version: version directories sort by creation
-    time, and only a directory holding Spark's _SUCCESS marker counts."""
+#: Versions left for readers that opened them before a commit.
+KEEP = 3
+#: Seconds a claimed number may wait for its name before it counts as given up.
+GIVEN_UP = 10
+
+
+def _claims(spark: SparkSession, store: str) -> list[int]:
+    """Claimed version numbers, newest first."""
     fs, p = _fs(spark, store)
     if not fs.exists(p):
-        return None
-    names = sorted((st.getPath().getName() for st in fs.listStatus(p)
-                    if st.isDirectory() and st.getPath().getName().startswith("v-")),
-                   reverse=True)
-    jvm = spark.sparkContext._jvm
-    for n in names:
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(store, n, "_SUCCESS"))):
-            return os.path.join(store, n)
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted((int(n[8:]) for n in names if re.fullmatch(r"version-\d+", n)), reverse=True)
+
+
+def _claim_path(store: str, n: int) -> str:
+    return os.path.join(store, "version-%012d" % n)
+
+
+def _data_of(spark: SparkSession, store: str, n: int) -> str | None:
+    """The data folder a version names; None when its writer was cut off
+    between creating and filling the file, more than GIVEN_UP seconds ago."""
+    fs, p = _fs(spark, _claim_path(store, n))
+    while fs.exists(p):                       # a later commit may remove it
+        st = fs.getFileStatus(p)
+        if st.getLen():
+            stream = fs.open(p)
+            try:
+                return os.path.join(store, bytes(stream.readNBytes(st.getLen())).decode())
+            finally:
+                stream.close()
+        if time.time() - st.getModificationTime() / 1000 > GIVEN_UP:
+            return None
+        time.sleep(0.1)
     return None
 
 
+def _current(spark: SparkSession, store: str) -> tuple[int, str | None]:
+    """(highest claimed number, data folder of the newest named version). A
+    store without numbers is read as its newest committed `v-` folder."""
+    claims = _claims(spark, store)
+    for n in claims:
+        found = _data_of(spark, store, n)
+        if found:
+            return claims[0], found
+    fs, p = _fs(spark, store)
+    old = sorted((st.getPath().getName() for st in fs.listStatus(p)), reverse=True) if fs.exists(p) else []
+    for name in old:
+        if name.startswith("v-") and fs.exists(_fs(spark, os.path.join(store, name, "_SUCCESS"))[1]):
+            return claims[0] if claims else 0, os.path.join(store, name)
+    return claims[0] if claims else 0, None
+
+
+def _claim(spark: SparkSession, store: str, n: int, data: str) -> bool:
+    """Makes `data` version `n`, unless another writer has that number."""
+    fs, p = _fs(spark, _claim_path(store, n))
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(data.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def _sweep(spark: SparkSession, store: str, n: int) -> None:
+    """Removes versions up to n - KEEP, their data with them."""
+    fs, _ = _fs(spark, store)
+    for old in _claims(spark, store):
+        if old <= n - KEEP:
+            data = _data_of(spark, store, old)
+            fs.delete(_fs(spark, _claim_path(store, old))[1], False)
+            if data:
+                fs.delete(_fs(spark, data)[1], True)
+
+
+def _table(spark: SparkSession, data: str | None) -> DataFrame:
+    return spark.read.schema(ACTION).parquet(data) if data else spark.createDataFrame([], ACTION)
+
+
 def read_actions(spark: SparkSession, store: str) -> DataFrame:
     """The store; a missing store is an empty table, not an error."""
-    cur = _current(spark, store)
-    if cur is None:
-        return spark.createDataFrame([], ACTION)
-    return spark.read.schema(ACTION).parquet(cur)
+    return _table(spark, _current(spark, store)[1])
 
 
-def save_actions(spark: SparkSession, incoming: DataFrame, store: str) -> tuple[int, int]:
+def save_actions(spark: SparkSession, incoming: DataFrame, store: str, attempts: int = 20) -> tuple[int, int]:
     """Merge `incoming` into the store; returns (total, added),
     `added` counting incoming rows whose key was not held (J2).
 
-    The merged store is written as a NEW version directory; it becomes the
-    current one when Spark commits the job (_SUCCESS), so a reader sees the
-    old store or the new one, never a partial one, and a failed save
-    leaves the old store current."""
-    existing = read_actions(spark, store)
-    added = new_actions(incoming, existing).count()
-    merged = merge_actions(incoming, existing)
-    version = "v-%020d-%s" % (time.time_ns(), uuid.uuid4().hex[:8])
-    target = os.path.join(store, version)
-    merged.write.mode("error").parquet(target)
-    total = spark.read.parquet(target).count()
-    return total, added
+    Compare and swap: the merge starts from version n, is written whole, and
+    becomes version n + 1 only if no other writer claimed that number; else it
+    is removed and made again from what is now current."""
+    for _ in range(attempts):
+        n, data = _current(spark, store)
+        existing = _table(spark, data)
+        mine = "data-" + uuid.uuid4().hex
+        target = os.path.join(store, mine)
+        merge_actions(incoming, existing).write.mode("error").parquet(target)
+        if _claim(spark, store, n + 1, mine):
+            added = new_actions(incoming, existing).count()
+            total = spark.read.schema(ACTION).parquet(target).count()
+            _sweep(spark, store, n + 1)
+            return total, added
+        fs, p = _fs(spark, target)
+        fs.delete(p, True)
+    raise RuntimeError("%s: %d saves in a row came second" % (store, attempts))
 
 
 def read_action_feed(spark: SparkSession, path: str) -> DataFrame:

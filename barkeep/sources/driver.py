@@ -92,7 +92,22 @@ def _fmt_date(d, style):
 
 
 def action_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exchange feed (D13 columns), one row per event.
+    """The exchange feed (`feed_rows`).
+
+    Emitted through a generator (one row in, one row out): a feed read from
+    JSON has plain columns, and so does this one to the optimizer - predicates
+    on them stay above instead of being re-inlined into the derivation."""
+    return feed_rows(spark, sf_dir).select(F.inline(F.array("row")))
+
+
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exchange feed as JSON arrays, one per event type and IST day."""
+    day = feed_rows(spark, sf_dir).groupBy("_d", "event_type").agg(F.collect_list("row").alias("rows"))
+    return day.select(F.to_json("rows").alias("value"))
+
+
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_type, _d = IST day, row): the exchange feed (D13 columns), one row per event.
 
     k = props.k picks vintage (k % 3: exDate+subject / ex_dt+purpose /
     exdate+subject), date format (k % 4, 3 = junk) and wording (k % 10);
@@ -126,11 +141,7 @@ def action_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(vintage != 1, subj).otherwise(null).alias("subject"),
         F.when(vintage == 1, subj).otherwise(null).alias("purpose"),
     )
-    # Emitted through a generator (one row in, one row out): a feed read
-    # from JSON has plain columns, and so does this one to the optimizer -
-    # predicates on them stay above instead of being re-inlined into the
-    # derivation below.
-    return ev.select(F.inline(F.array(row)))
+    return ev.select("event_type", "_d", row.alias("row"))
 
 
 # --- fixed values: wordings of the weekly store (factors 0.5, 0.625,
@@ -304,3 +315,29 @@ def dirty_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.slice(volume, F.lit(1), F.greatest(F.size("rows") - 1, F.lit(0))).alias("volume"))).alias("quote")).alias("indicators"))
     body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"})
     return p.select("symbol", "interval", "fetched", "landed_at", body.alias("payload"))
+
+
+def typed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with values of another type than they should have, by day of
+    month modulo 7: 1 a text for the first open, 2 a fraction of a second in
+    the first timestamp, 3 one number for all lows, 4 no result, 5 no symbol,
+    6 a boolean for the first volume."""
+    p = payloads(spark, sf_dir)
+    kind, text = F.dayofmonth("fetched") % 7, F.col("payload")
+    body = (F.when(kind == 1, F.regexp_replace(text, r'"open":\[[^,\]]*', '"open":["n/a"'))
+            .when(kind == 2, F.regexp_replace(text, r'"timestamp":\[(\d+)', r'"timestamp":[$1.5'))
+            .when(kind == 3, F.regexp_replace(text, r'"low":\[[^\]]*\]', '"low":1.5'))
+            .when(kind == 4, F.lit('{"chart":{"result":null,"error":{"code":"Not Found"}}}'))
+            .when(kind == 6, F.regexp_replace(text, r'"volume":\[[^,\]]*', '"volume":[true')).otherwise(text))
+    return p.withColumns({"payload": body, "symbol": F.when(kind != 5, F.col("symbol"))})
+
+
+def closing_bars(spark: SparkSession, sf_dir: str, interval: str) -> DataFrame:
+    """Bars of the symbol-sessions that trade at or after 15:00 with prices
+    above zero throughout: an archive of them passes every gate."""
+    from barkeep.functions.timecols import minute_of_day
+    from barkeep.schema import REACH_BY_M
+
+    b = bars(spark, sf_dir, interval)
+    good = b.groupBy("symbol", "date").agg(F.max(minute_of_day("ts")).alias("m"), F.min("l").alias("l"))
+    return b.join(good.where((F.col("m") >= REACH_BY_M) & (good["l"] > 0)).select("symbol", "date"), ["symbol", "date"], "left_semi")

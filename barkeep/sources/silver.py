@@ -17,10 +17,15 @@ from pyspark.sql import functions as F
 from barkeep.operators.checks import check_summary
 from barkeep.operators.merge import merge_bars
 from barkeep.schema import BAR_COLS, BAR_CSV, PROVENANCE, SILVER
+from barkeep.session import observed
 
 # Parquet row-group size used on write: small enough that a day holding
 # every symbol splits into many row groups the symbol filter can skip.
 ROW_GROUP_BYTES = 8 * 1024 * 1024
+# A row group whose symbols outgrow its dictionary carries a bloom filter of
+# this many instead: either lets a point read skip it without reading it.
+SYMBOLS_EXPECTED = 20_000
+_DATE_FOLDER = "date=[0-9][0-9][0-9][0-9]-[0-1][0-9]-[0-3][0-9]"
 
 
 def _d(x):
@@ -32,21 +37,14 @@ def _d(x):
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     """Every interval and date; partition columns typed by the schema.
 
-    A missing archive reads as an empty table. A directory whose name is
-    not a date (a stray `date=junk`) is skipped,
-    not fatal: the file index - built here, eagerly - is created without
-    partition-value validation, so such a value reads as NULL and the
-    partition filter below prunes it."""
-    if not _exists(spark, root):
+    A missing archive reads as an empty table. Only folders named like a date
+    are listed, so a stray one (`date=junk`) does no harm."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    days = path(os.path.join(root, "interval=*", _DATE_FOLDER))
+    found = days.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(days)
+    if not found:
         return spark.createDataFrame([], SILVER)      # not fetched yet: empty, not an error
-    key = "spark.sql.sources.validatePartitionColumns"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        df = spark.read.schema(SILVER).option("basePath", root).parquet(root)
-    finally:
-        spark.conf.set(key, prev)
-    return df.where(F.col("date").isNotNull())
+    return spark.read.schema(SILVER).option("basePath", root).parquet(days.toString())
 
 
 def load_bars(spark: SparkSession, root: str, interval: str,
@@ -91,7 +89,8 @@ def write_silver(bars: DataFrame, root: str, interval: str) -> None:
     Rebalanced by date: adaptive execution puts small days into one file
     each and splits a large day over several, at the session's advisory
     partition size. Each file is sorted by (symbol, ts). Writing one
-    interval at a time keeps the sort (H6).
+    interval at a time keeps the sort (H6). Dictionary or bloom filter of
+    `symbol` answer for symbols a row group does not hold.
     """
     origin = [F.col(c) if c in bars.columns else F.lit(None).cast(SILVER[c].dataType).alias(c) for c in PROVENANCE]
     b = bars.select(*BAR_COLS, *origin, "date")
@@ -100,6 +99,8 @@ def write_silver(bars: DataFrame, root: str, interval: str) -> None:
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .option("parquet.block.size", ROW_GROUP_BYTES)
+        .option("parquet.bloom.filter.enabled#symbol", "true")
+        .option("parquet.bloom.filter.expected.ndv#symbol", SYMBOLS_EXPECTED)
         .partitionBy("date")
         .parquet(os.path.join(root, "interval=%s" % interval)))
 
@@ -131,7 +132,7 @@ def touched_dates(incoming: DataFrame) -> list:
 
 
 def merge_into_silver(incoming: DataFrame, root: str, interval: str,
-                      summary_root: str | None = None) -> tuple[int, int]:
+                      summary_root: str | None = None, table: str | None = None) -> tuple[int, int]:
     """G1 + S8: merge a batch of parsed bars into silver. Returns
     (days rewritten, bars now in those days).
 
@@ -140,11 +141,12 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str,
     partition, and a lost executor's tasks read the old files again. When
     the grain holds nothing yet, the dates are not asked for beforehand.
     With `summary_root`, the gates' kept summary is refreshed for the
-    touched dates afterwards.
+    touched dates afterwards; with `table`, the dates are made known to that
+    table (`archive_table`).
     """
     spark = incoming.sparkSession
     existing = None
-    if _exists(spark, os.path.join(root, "interval=%s" % interval)):
+    if exists(spark, os.path.join(root, "interval=%s" % interval)):
         days = touched_dates(incoming)
         if not days:
             return 0, 0
@@ -154,13 +156,17 @@ def merge_into_silver(incoming: DataFrame, root: str, interval: str,
     merged = merge_bars(incoming, existing, provenance=True).observe(
         written, F.count(F.lit(1)).alias("bars"), F.collect_set("date").alias("days"))
     write_silver(merged, root, interval)
-    got = written.get
+    got = observed(written)
+    if not got:
+        return 0, 0
     if summary_root:
         refresh_check_summary(spark, root, summary_root, interval, sorted(got["days"]))
+    if table:
+        add_partitions(spark, table, sorted(got["days"]))
     return len(got["days"]), got["bars"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jsc = spark.sparkContext._jsc
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -179,6 +185,46 @@ def archive_stats(bars: DataFrame) -> DataFrame:
     return days.join(symbols, "interval").select("interval", "days", "bars", "symbols", "first_date", "last_date")
 
 
+def archive_counts(spark: SparkSession, root: str) -> DataFrame:
+    """S14 / A13 from footers: bars, first and last epoch of every (interval,
+    date) held. The counts are pushed into Parquet's footers, so no column of
+    any bar is read; the reader that can do so is chosen in a session of its
+    own, the caller's settings stay."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return read_silver(own, root).groupBy("interval", "date").agg(
+        F.count("*").alias("bars"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+# ------------------------------------------------------------------- catalog
+
+def archive_table(spark: SparkSession, root: str, interval: str, name: str) -> None:
+    """An external table over one grain of the archive with every
+    date it holds as a partition."""
+    spark.sql("CREATE TABLE IF NOT EXISTS %s (symbol STRING, ts BIGINT, o DOUBLE, h DOUBLE, l DOUBLE, c DOUBLE, v BIGINT, "
+              "fetched DATE, landed_at TIMESTAMP, date DATE) USING parquet PARTITIONED BY (date) LOCATION '%s'"
+              % (name, os.path.join(root, "interval=%s" % interval)))
+    add_partitions(spark, name, available(spark, root, interval))
+
+
+def add_partitions(spark: SparkSession, name: str, dates) -> None:
+    """Makes `dates` known to the table, as each merge does for its own."""
+    dates = [str(d) for d in dates]
+    for lo in range(0, len(dates), 500):
+        spark.sql("ALTER TABLE %s ADD IF NOT EXISTS %s" % (
+            name, " ".join("PARTITION (date = DATE '%s')" % d for d in dates[lo:lo + 500])))
+    if dates:
+        spark.catalog.refreshTable(name)
+
+
+def table_sessions(spark: SparkSession, name: str) -> DataFrame:
+    """S6 from the catalog: the table's session dates, oldest first; no
+    folder is listed."""
+    parts = spark.sql("SHOW PARTITIONS %s" % name)
+    return parts.select(F.to_date(F.substring_index("partition", "=", -1)).alias("date")).orderBy("date")
+
+
 def archive_bytes(spark: SparkSession, root: str) -> DataFrame:
     """Total bytes and file count under `root`, from file listing
     metadata only (binaryFile without reading content)."""
@@ -189,7 +235,7 @@ def archive_bytes(spark: SparkSession, root: str) -> DataFrame:
 
 
 _SUMMARY = ("symbol string, n long, n_ts int, last_m int, vol long, bad long, nonpos long, "
-            "misplaced long, version long, date date")
+            "misplaced long, bad_ts array<long>, nonpos_ts array<long>, version long, date date")
 
 
 def archive_versions(spark: SparkSession, root: str, interval: str) -> DataFrame:
@@ -197,7 +243,7 @@ def archive_versions(spark: SparkSession, root: str, interval: str) -> DataFrame
     names and sizes, from the listing alone. A rewritten date has another
     version, as file names are unique to a write."""
     path = os.path.join(root, "interval=%s" % interval)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "date date, version long")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                   .option("recursiveFileLookup", "true").load(path).select("path", "length"))
@@ -210,7 +256,7 @@ def archive_versions(spark: SparkSession, root: str, interval: str) -> DataFrame
 def read_check_summary(spark: SparkSession, summary_root: str, interval: str) -> DataFrame:
     """The kept check summary of one interval (empty if never refreshed)."""
     path = os.path.join(summary_root, "interval=%s" % interval)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], _SUMMARY)
     return spark.read.schema(_SUMMARY).parquet(path)
 

@@ -1,16 +1,19 @@
 """Incremental bronze -> silver with Structured Streaming.
 
-New landed responses are picked up as a file stream over the bronze
-folder; each micro-batch is parsed and merged into silver with the same
-newest-wins merge as a batch rebuild. The merge is idempotent, so a
-replayed micro-batch (after a driver or executor loss) changes nothing;
-late data is always accepted - no watermark, no state store. Bars keep the
-fetch they came from in silver, so the answer does not depend on how the
-files fall into micro-batches. A damaged file stops the query, which names
-it, and its micro-batch is not recorded as done; `readable_bronze` and
-`rebuild_silver` set such files aside. A response that is no chart payload
-is named in the quarantine table before its micro-batch is merged. Progress is checkpointed under the
-cluster's shared `spark.checkpoint.dir`.
+New landed files are picked up as a file stream over the bronze folder; each
+micro-batch is inflated once into a table in the shared folder, parsed and
+merged into silver with the same newest-wins merge as a batch rebuild. The
+merge is idempotent, so a replayed micro-batch (after a driver or executor
+loss) changes nothing; late data is always accepted - no watermark, no state
+store. Bars keep the fetch they came from in silver, so the answer does not
+depend on how the files fall into micro-batches.
+
+Dead letters never stop the query: a damaged file goes whole to the
+quarantine table, as do responses without a symbol, a grain this archive
+knows or a fetch date, those without a chart, and single wrong values - all
+named before anything of their micro-batch is merged. Progress is
+checkpointed under the cluster's shared `spark.checkpoint.dir`; a checkpoint
+of the former stream of parsed lines cannot be continued.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barkeep.operators.parse import parse_payload
-from barkeep.session import ensure_checkpoint_dir
-from barkeep.sources.bronze import QUARANTINE, bronze_stream, keep_quarantine
+from barkeep.operators.parse import bars_of, read_responses
+from barkeep.session import ensure_checkpoint_dir, scratch_path
+from barkeep.sources.bronze import QUARANTINE, bronze_stream, damaged, keep_quarantine, staged
 from barkeep.sources.silver import merge_into_silver
 
 
@@ -35,17 +38,19 @@ def stream_merge(spark: SparkSession, bronze_root: str, silver_root: str,
     """Start the incremental merge. `available_now` processes everything
     landed so far in bounded micro-batches, then stops (a nightly run);
     otherwise it keeps polling every minute. With `summary_root`, the
-    gates' kept summary is refreshed for each batch's dates. Responses that
-    do not parse go to `quarantine_root` (`_quarantine` under silver)."""
+    gates' kept summary is refreshed for each batch's dates. What cannot
+    be used goes to `quarantine_root` (`_quarantine` under silver)."""
     aside = quarantine_root or os.path.join(silver_root, QUARANTINE)
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream", name)
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        keep_quarantine(batch, aside)
+    def merge_batch(files: DataFrame, batch_id: int) -> None:
+        rows = staged(files, scratch_path(spark, "stream-batch"))
+        whole = rows.where("damage is null").drop("damage")
+        keep_quarantine(whole, aside, damaged(rows))
+        r = read_responses(whole).where("_fault is null")
         # every grain of the batch, a few values
-        for (iv,) in sorted(batch.select("interval").distinct().collect()):
-            merge_into_silver(parse_payload(batch.where(batch["interval"] == iv)), silver_root, iv,
-                              summary_root=summary_root)
+        for (iv,) in sorted(r.select("interval").distinct().collect()):
+            merge_into_silver(bars_of(r.where(r["interval"] == iv)), silver_root, iv, summary_root=summary_root)
 
     w = (bronze_stream(spark, bronze_root, max_files_per_trigger)
          .writeStream.queryName(name).option("checkpointLocation", ckpt)

@@ -291,9 +291,13 @@ def test_truncated_landed_file_is_named_and_left_out_whole(spark, scratch):
     assert len(bad) == 1 and bad[0].path.endswith(name) and bad[0].fetched == dt.date(2026, 8, 19)
     assert {r.date.isoformat() for r in load_bars(spark, silver, "1m").select("date").distinct().collect()} == {"2026-08-18"}
     assert load_bars(spark, silver, "1m").count() == done.bars == 600
-    with pytest.raises(Exception):
-        stream_merge(spark, bronze, os.path.join(scratch, "s2"), name="damaged",
-                     checkpoint=os.path.join(scratch, "ck-damaged")).awaitTermination(120)
+    assert done.responses.read == done.responses.parsed == 300
+    from barkeep.sources.bronze import read_quarantine
+    silver2 = os.path.join(scratch, "s2")
+    stream_merge(spark, bronze, silver2, name="damaged", checkpoint=os.path.join(scratch, "ck-damaged")).awaitTermination(120)
+    aside = read_quarantine(spark, os.path.join(silver2, "_quarantine")).collect()
+    assert [(r.path, r.reason) for r in aside] == [(bad[0].path, bad[0].reason)]     # the stream sets it aside too
+    assert load_bars(spark, silver2, "1m").count() == 600
 
 
 def test_rebuild_reads_single_files_and_fails_when_nothing_is_read(spark, scratch):
@@ -392,3 +396,253 @@ def test_rebuild_leaves_no_stale_summary(spark, scratch):
     rebuild_silver(spark, bronze, silver, "1m")                                      # without the summary
     got = {r.check: r.ok for r in check_archive(spark, silver, intervals=("1m",), summary_root=summary).collect()}
     assert got["prices positive"] is False
+
+
+def _typed_rows():
+    """(symbol, interval, fetched, payload, reasons, bars kept) of responses
+    with wrong values, missing keys or no content."""
+    day = "2026-08-18"
+    t = [epoch(day, x) for x in ("10:00", "10:01", "10:02")]
+
+    def body(events=None, **other):
+        quote = {n: [1.0, 2.0, 3.0] for n in ("open", "high", "low", "close", "volume")}
+        quote.update({k: v for k, v in other.items() if k in quote})
+        node = {"timestamp": other.get("timestamp", t), "indicators": {"quote": [quote]}}
+        if events is not None:
+            node["events"] = events
+        return json.dumps({"chart": {"result": [node]}})
+
+    split = {"date": t[0], "numerator": 5, "denominator": 1}
+    return [
+        ("TEXT", "1m", day, body(open=["x", 2.0, 3.0]), ["open[0] is string"], 2),
+        ("DIGITS", "1m", day, body(high=["9", 9, 9], low=[0, 0, 0]), ["high[0] is string"], 2),
+        ("FRACTION", "1m", day, body(timestamp=[t[0] + 0.5, t[1], t[2]]), ["timestamp[0] is decimal"], 3),
+        ("WHOLE", "1m", day, body(timestamp=[float(x) for x in t]), [], 3),
+        ("SCALAR", "1m", day, body(low=5), ["low is no array but bigint"], 0),
+        ("NESTED", "1m", day, body(close=[[1], {"a": 1}, 3.0]), ["close[0] is array", "close[1] is object"], 1),
+        ("VOLUME", "1m", day, body(volume=["7", True, None]), ["volume[1] is boolean"], 2),
+        ("FAR", "1m", day, body(timestamp=[10 ** 18, t[1], 10 ** 30]), ["timestamp[0] is bigint", "timestamp[2] is decimal"], 1),
+        ("NULLS", "1m", day, body(open=[None, 2.0, 3.0], timestamp=[t[0], None, t[2]]), [], 1),
+        ("NORESULT", "1m", day, json.dumps({"chart": {"result": None, "error": "x"}}), ["no result"], 0),
+        ("NONE", "1m", day, json.dumps({"chart": {"result": []}}), ["no result"], 0),
+        ("CHART", "1m", day, json.dumps({"chart": 5}), ["not a chart payload"], 0),
+        ("BROKEN", "1m", day, body()[:40], ["not a chart payload"], 0),
+        ("BLANK", "1m", day, "  ", ["empty"], 0),
+        (None, "1m", day, body(), ["no symbol"], 0),
+        ("NOGRAIN", None, day, body(), ["no interval"], 0),
+        ("ODD", "1h", day, body(), ["unknown interval"], 0),
+        ("NODATE", "1m", None, body(), ["no fetch date"], 0),
+        ("EVENT", "1m", day, body(open=["x", 2.0, 3.0], events={"splits": {"a": split}}), ["open[0] is string"], 2),
+        ("ODDEVENT", "1m", day, body(events={"splits": {"a": {**split, "numerator": "abc"}}}), ["unreadable event"], 3),
+        ("LIST", "1m", day, body(events=[1]), ["events is no object"], 3),
+        ("GOOD", "1m", day, body(), [], 3)]
+
+
+def _typed(spark, rows):
+    return spark.createDataFrame([(s, iv, f and dt.date.fromisoformat(f), p) for s, iv, f, p, *_ in rows],
+                                 "symbol string, interval string, fetched date, payload string")
+
+
+def test_wrong_values_are_named_and_cost_their_own_bar_only(spark):
+    from barkeep.operators.parse import parse_events
+    rows = _typed_rows()
+    b = _typed(spark, rows)
+    named, kept = {}, {}
+    for r in bronze_quarantine(b).collect():
+        named.setdefault(r.symbol, []).append(r.reason)
+    for r in parse_payload(b).collect():
+        kept[r.symbol] = kept.get(r.symbol, 0) + 1
+    assert {s: sorted(v) for s, v in named.items()} == {r[0]: sorted(r[4]) for r in rows if r[4]}
+    assert kept == {r[0]: r[5] for r in rows if r[5]}
+    assert [(r.symbol, r.factor) for r in parse_events(b).collect()] == [("EVENT", 0.2)]
+    first = parse_payload(b).where("symbol = 'FRACTION'").orderBy("ts").first()
+    assert first.ts == epoch("2026-08-18", "10:00")
+
+
+@pytest.mark.parametrize("rows", [_typed_rows(), [r for r in _typed_rows() if r[0] == "NOGRAIN"]])
+def test_ingest_rebuild_and_stream_account_for_every_response(spark, scratch, rows):
+    from barkeep.sources.bronze import read_quarantine
+    bronze, silver = os.path.join(scratch, "bronze"), os.path.join(scratch, "silver")
+    want = sorted((str(r[0]), str(r[1]), str(r[2]), x) for r in rows for x in r[4])
+    bars = sum(r[5] for r in rows)
+    names = lambda df: sorted((str(r.symbol), str(r.interval), str(r.fetched), r.reason) for r in df.collect())
+
+    done = ingest(spark, _typed(spark, rows), bronze, silver, os.path.join(scratch, "actions"))
+    t = done["responses"]
+    assert t.read == len(rows) == t.parsed + t.empty + t.quarantined
+    assert t.empty == sum(r[4] in (["no result"], ["empty"]) for r in rows)
+    assert names(read_quarantine(spark, os.path.join(silver, "_quarantine"))) == want
+    assert load_bars(spark, silver, "1m").count() == bars
+    again = os.path.join(scratch, "again")
+    stream_merge(spark, bronze, again, name="typed%d" % len(rows), checkpoint=os.path.join(scratch, "ck")).awaitTermination(180)
+    assert names(read_quarantine(spark, os.path.join(again, "_quarantine"))) == want
+    assert load_bars(spark, again, "1m").count() == bars
+    assert not os.path.exists(os.path.join(again, "interval=None"))
+    rebuilt = rebuild_silver(spark, bronze, os.path.join(scratch, "rebuilt"), "1m")
+    assert rebuilt.bars == bars and names(rebuilt.quarantine) == [w for w in want if w[1] == "1m"]
+    assert rebuilt.responses.read == sum(r[1] == "1m" for r in rows)
+
+
+def test_fewer_responses_read_than_landed_is_an_error(spark, scratch, monkeypatch):
+    from barkeep.plans import ingest as I
+    rows = [r for r in _typed_rows() if r[0] in ("GOOD", "TEXT")]
+    monkeypatch.setattr(I, "read_bronze", lambda *a: read_bronze(*a).where("symbol = 'GOOD'"))
+    with pytest.raises(RuntimeError, match="2 responses were landed, 1 read back"):
+        ingest(spark, _typed(spark, rows), os.path.join(scratch, "bronze"), os.path.join(scratch, "silver"))
+    assert not os.path.exists(os.path.join(scratch, "silver", "interval=1m"))
+
+
+def test_inflating_is_whole_linear_and_strict():
+    import gzip
+    import time
+    import zlib
+
+    from barkeep.sources.bronze import inflated
+    text = b"".join(b"%d," % (i * i) for i in range(200_000))
+    whole = gzip.compress(text)
+    assert b"".join(inflated(whole)) == text
+    assert b"".join(inflated(whole + gzip.compress(b"more"), slice_bytes=7, piece=5)) == text + b"more"
+    assert b"".join(inflated(memoryview(gzip.compress(b"")))) == b""
+    for bad in (b"", whole[:-1], whole[:len(whole) // 2], b"x" + whole, whole + b"tail", whole[:200] + b"\0\0" + whole[202:]):
+        with pytest.raises((EOFError, zlib.error)):
+            for _ in inflated(bad):
+                pass
+    took = []
+    for n in (8, 32):
+        big = gzip.compress(os.urandom(n << 20), 1)
+        start = time.perf_counter()
+        assert sum(map(len, inflated(big))) == n << 20
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0]                 # four times the bytes; quadratic would be sixteen times
+
+
+def test_single_file_landing_replaces_and_refuses_keyless_rows(spark, scratch):
+    from barkeep.sources.bronze import land_responses, read_bronze_files
+    root = os.path.join(scratch, "bronze")
+    day = "2026-08-18"
+    assert land_responses(_bronze_df(spark, [("tcs", "1m", day, _payload(day, ["10:00"], 1)), ("m&m", "1m", day, _payload(day, ["10:00"], 2))]), root) == 2
+    assert land_responses(_bronze_df(spark, [("tcs", "1m", day, _payload(day, ["10:00"], 3))]), root) == 1
+    assert sorted(f for f in os.listdir(os.path.join(root, "interval=1m", "fetched=" + day)) if not f.startswith(".")) == ["M&M.json.gz", "TCS.json.gz"]
+    assert sorted((r.symbol, r.o) for r in parse_payload(read_bronze_files(spark, root)).collect()) == [("M&M", 2.0), ("TCS", 3.0)]
+    for bad in ([(None, "1m", day, "{}")], [("a", "1m", day, "{}"), ("A", "1m", day, "{}")]):
+        with pytest.raises(ValueError, match="per symbol"):
+            land_responses(_bronze_df(spark, bad), root)
+
+
+# --- S15 / C4: one snapshot ---------------------------------------------------
+
+def _gated(spark, make_bars, scratch):
+    silver, dest = os.path.join(scratch, "silver"), os.path.join(scratch, "dest")
+    rows = [(s, d, "15:%02d" % m, 1, 1, 1, 1, 1) for s in ("A", "B") for d in ("2026-08-17", "2026-08-18") for m in (0, 1)]
+    for iv in ("1m", "5m"):
+        write_silver(make_bars(rows), silver, iv)
+    return silver, dest, rows
+
+
+def test_publishing_into_a_destination_without_a_record(spark, make_bars, scratch):
+    silver, dest, rows = _gated(spark, make_bars, scratch)
+    write_silver(make_bars([("OLD", "2026-08-10", "10:00", 1, 1, 1, 1, 1), ("OLD", "2026-08-17", "10:00", 1, 1, 1, 1, 1)]), dest, "1m")
+    publish_if_passed(spark, silver, dest, as_of="2026-08-19")
+    got = sorted((r.symbol, r.date.isoformat()) for r in load_bars(spark, dest, "1m").collect())
+    assert got == sorted([("OLD", "2026-08-10")] + [(r[0], r[1]) for r in rows])
+
+
+def test_a_rewrite_between_gate_and_copy_is_refused(spark, make_bars, scratch, monkeypatch):
+    from barkeep.plans import ingest as I
+    silver, dest, rows = _gated(spark, make_bars, scratch)
+    bad = make_bars([("A", "2026-08-18", "15:00", -1, 1, -1, 1, 1), ("B", "2026-08-18", "15:00", 1, 1, 1, 1, 1)])
+    real, calls = I.assert_passed, []
+
+    def passed_then_rewritten(results):
+        real(results)
+        if not calls:
+            calls.append(1)
+            write_silver(bad, silver, "1m")
+
+    monkeypatch.setattr(I, "assert_passed", passed_then_rewritten)
+    with pytest.raises(ChecksFailed):             # the second attempt gates what is there now
+        publish_if_passed(spark, silver, dest, as_of="2026-08-19")
+    assert load_bars(spark, dest, "1m").count() == 0
+
+
+def test_a_rewrite_during_the_gates_is_gated_again(spark, make_bars, scratch, monkeypatch):
+    from barkeep.plans import ingest as I
+    silver, dest, rows = _gated(spark, make_bars, scratch)
+    real, runs = I.check_archive, []
+
+    def checked(*a, **k):
+        out = real(*a, **k)
+        runs.append(1)
+        if len(runs) < keep_on:
+            out = spark.createDataFrame(out.collect(), out.schema)
+            write_silver(make_bars([(s, "2026-08-18", "15:00", 2, 2, 2, 2, len(runs)) for s in ("A", "B")]), silver, "1m")
+        return out
+
+    monkeypatch.setattr(I, "check_archive", checked)
+    keep_on = 3
+    publish_if_passed(spark, silver, dest, as_of="2026-08-19")
+    assert len(runs) == 3 and sorted(r.v for r in load_bars(spark, dest, "1m").where("date = '2026-08-18'").collect()) == [2, 2]
+    runs, keep_on = [], 9
+    with pytest.raises(I.ArchiveChanged):
+        publish_if_passed(spark, silver, os.path.join(scratch, "dest2"), as_of="2026-08-19")
+    assert len(runs) == 3
+
+
+# --- S10 / G2: compare and swap -------------------------------------------------
+
+def _action(sym, day, factor=0.5):
+    return (sym, dt.date(2026, 1, day), "split", factor, sym)
+
+
+def test_interleaved_saves_keep_both_additions(spark, scratch, monkeypatch):
+    from barkeep.sources import actions as S
+    store = os.path.join(scratch, "store")
+    make = lambda *rows: spark.createDataFrame(list(rows), ACTION)
+    save_actions(spark, make(_action("OLD", 1)), store)
+    real, first = S._claim, []
+
+    def late(spark_, store_, n, data):
+        if not first:                              # while the outer save holds its merge, another one commits
+            first.append(n)
+            assert save_actions(spark, make(_action("INNER", 2), _action("BOTH", 3, 0.25)), store) == (3, 2)
+        return real(spark_, store_, n, data)
+
+    monkeypatch.setattr(S, "_claim", late)
+    assert save_actions(spark, make(_action("OUTER", 4), _action("BOTH", 3, 0.75)), store) == (4, 1)
+    assert sorted((r.symbol, r.factor) for r in read_actions(spark, store).collect()) == [
+        ("BOTH", 0.75), ("INNER", 0.5), ("OLD", 0.5), ("OUTER", 0.5)]
+    assert len([n for n in os.listdir(store) if n.startswith("data-")]) == 3       # the loser's merge is gone
+
+
+def test_threads_saving_at_once_lose_nothing(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    store = os.path.join(scratch, "store")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: save_actions(spark, spark.createDataFrame([_action("S%d" % i, i)], ACTION), store), range(1, 7)))
+    assert sorted(r.symbol for r in read_actions(spark, store).collect()) == ["S%d" % i for i in range(1, 7)]
+
+
+def test_old_versions_go_and_cut_off_claims_are_passed_over(spark, scratch, monkeypatch):
+    from barkeep.sources import actions as S
+    store = os.path.join(scratch, "store")
+    for i in range(1, 7):
+        save_actions(spark, spark.createDataFrame([_action("S%d" % i, i)], ACTION), store)
+    names = os.listdir(store)
+    assert sorted(n for n in names if n.startswith("version-")) == ["version-%012d" % n for n in (4, 5, 6)]
+    assert len([n for n in names if n.startswith("data-")]) == 3
+    open(os.path.join(store, "version-%012d" % 7), "w").close()                    # a writer died here
+    monkeypatch.setattr(S, "GIVEN_UP", -1)
+    assert read_actions(spark, store).count() == 6
+    assert save_actions(spark, spark.createDataFrame([_action("S7", 7)], ACTION), store) == (7, 1)
+    assert S._claims(spark, store)[0] == 8
+
+
+def test_two_reads_share_no_setting(spark, make_bars, scratch):
+    root = os.path.join(scratch, "silver")
+    write_silver(make_bars([("A", "2026-08-18", "10:00", 1, 1, 1, 1, 1)]), root, "1m")
+    key = "spark.sql.sources.validatePartitionColumns"
+    before = spark.conf.get(key)
+    from barkeep.sources import silver as S
+    import inspect
+    assert key not in inspect.getsource(S.read_silver) and load_bars(spark, root, "1m").count() == 1
+    assert spark.conf.get(key) == before

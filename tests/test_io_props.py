@@ -14,7 +14,7 @@ from barkeep.operators.parse import parse_payload
 from barkeep.plans.board import board
 from barkeep.schema import ACTION
 from barkeep.sources.actions import read_action_feed
-from barkeep.sources.bronze import damaged_files, read_bronze_files, readable_bronze
+from barkeep.sources.bronze import read_bronze_files, readable_bronze
 
 
 def _payload(day, times, base):
@@ -37,12 +37,12 @@ def test_one_file_per_response_layout(spark, scratch):
     files = read_bronze_files(spark, root, "1m", fetched_from="2026-08-18")
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "fetched" in plan
-    landed, _ = readable_bronze(spark, root, "1m", fetched_from="2026-08-18")
+    landed, damaged = readable_bronze(spark, root, "1m", fetched_from="2026-08-18")
     assert sorted(r.symbol for r in landed.collect()) == ["INFY", "TCS"]
     bars = parse_payload(landed)
     assert sorted((r.symbol, r.o) for r in bars.collect()) == [
         ("INFY", 20.0), ("INFY", 20.0), ("TCS", 10.0), ("TCS", 10.0)]
-    bad = [r.path for r in damaged_files(spark, root).collect()]
+    bad = [r.path for r in damaged.collect()]
     assert len(bad) == 1 and bad[0].endswith("BAD.json.gz")
 
 
