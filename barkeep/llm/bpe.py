@@ -7,11 +7,12 @@ can be read, uv can be read too and leads where v led before. What remains
 accepts exactly the token sequences that the merges produce, so each prefix
 of a word has one accepted path, and a word is encoded by following arcs.
 
-A copy differs from its parent by one arc, so a state is kept as (parent,
-missing arc, time of the merge) and an arc as (left part, time): whether a
-state has an arc follows from walking both back in time. That keeps the
-49k-merge automaton at one state per merge; looked-up transitions are kept
-in a table.
+A copy differs from the state it was made of by one arc, and every state is
+the one some arc leads to: so a state is named by its arc and kept as the arcs
+it lacks, each with the time of its merge, and the arc whose state it was made
+of. Whether a state has an arc follows from walking both arcs back in time, a
+few steps each; looked-up transitions are kept in a table. That keeps the
+49k-merge automaton at one entry per merge.
 
 Edge cases: a null text is encoded like an empty one (no token, empty decoded
 text); strings of the added tokens inside a text become those tokens, as the
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's word table before the older half goes: bounds memory only.
-WORD_TABLE = 100_000
-_ROOT = 0
+WORD_TABLE = 250_000
+_ROOT = -1  # the state before any arc: it has them all
 
 
 def byte_letters() -> list[str]:
@@ -58,34 +59,39 @@ class Automaton:
             self.label[i] = t
         self.suffix = model["end_of_word_suffix"] or ""
         n = len(self.label)
-        self.left, self.born = [-1] * n, [0] * n      # arcs
-        self.parent, self.lacks, self.made = [-1], [-1], [0]  # states; 0 is the root
-        self.to = [_ROOT] * n                         # where an arc leads
-        # Arcs that leave the automaton by a merge's gadget, in merge order.
+        self.left, self.right, self.born = [-1] * n, [-1] * n, [0] * n  # of each arc: its parts and its merge's time
+        #: (arc, arc its state lacks since this time): the copies the gadgets make.
+        self.lacks: dict[int, int] = {}
         for time, (u, v) in enumerate(model["merges"], 1):
             u, v, w = self.ids[u], self.ids[v], self.ids[u + v]
-            self.left[w], self.born[w], self.to[w] = u, time, self.to[v]
-            self.parent.append(self.to[u])
-            self.lacks.append(v)
-            self.made.append(time)
-            self.to[u] = len(self.parent) - 1
+            # Reading u leads to a copy without the arc v; w goes where v led.
+            self.lacks[u << 20 | v] = time
+            self.left[w], self.right[w], self.born[w] = u, v, time
         self.table: dict[int, bool] = {}
         self.longest = max(len(t) - (len(self.suffix) if t.endswith(self.suffix) else 0) for t in self.ids)
 
     def has(self, state: int, arc: int) -> bool:
-        """Whether the state has the arc."""
+        """Whether the state that the arc `state` leads to has `arc`."""
+        if state == _ROOT:
+            return True
         key = state << 20 | arc
         got = self.table.get(key)
         if got is None:
-            s, a, got = state, arc, True
-            while s != _ROOT:
-                if self.made[s] > self.born[a]:
-                    if self.lacks[s] == a:
-                        got = False
-                        break
-                    s = self.parent[s]
+            u, v, until, got = state, arc, len(self.lacks) + 1, True
+            born, lacks = self.born, self.lacks
+            while True:
+                if lacks.get(u << 20 | v, until) < until:
+                    got = False
+                    break
+                # The younger arc did not exist before its merge: u's state was
+                # then that of its right part (as it was just before), v stood
+                # for its left part (up to that merge and with it).
+                if not born[u] and not born[v]:
+                    break
+                if born[u] >= born[v]:
+                    u, until = self.right[u], min(until, born[u])
                 else:
-                    a = self.left[a]
+                    v, until = self.left[v], min(until, born[v] + 1)
             if len(self.table) > 1_000_000:
                 self.table.clear()
             self.table[key] = got
@@ -94,7 +100,7 @@ class Automaton:
     def encode(self, word: str) -> list[int]:
         """The accepted path of a pre-split word: left to right, the longest
         arc first, one step back where no arc goes on."""
-        n, ids, suffix, to, has = len(word), self.ids, self.suffix, self.to, self.has
+        n, ids, suffix, has = len(word), self.ids, self.suffix, self.has
         path: list[int] = []
         ends, tried, pos, state = [], [], 0, _ROOT
         dead = bytearray(n + 1)  # positions whose accepted prefix leads nowhere
@@ -103,20 +109,20 @@ class Automaton:
             end = stop
             while end > pos:
                 arc = ids.get(word[pos:end] + suffix if end == n else word[pos:end])
-                if arc is not None and not dead[end] and has(state, arc):
+                if arc is not None and not dead[end] and (state < 0 or has(state, arc)):
                     break
                 end -= 1
             if end > pos:
                 path.append(arc)
                 ends.append(pos)
-                pos, state = end, to[arc]
+                pos, state = end, arc
             else:
                 dead[pos] = 1
                 if not path:
                     raise ValueError("no path for %r" % word[:80])
                 path.pop()
                 pos = ends.pop()
-                state = to[path[-1]] if path else _ROOT
+                state = path[-1] if path else _ROOT
             stop = min(n, pos + self.longest)
         return path
 

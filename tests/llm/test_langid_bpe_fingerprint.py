@@ -80,9 +80,9 @@ def test_automaton_has_one_path(library):
     _, own = library
     a = own.automaton
     for word in ("tokenization", "aaaaaa", "thethethe"):
-        paths = {0: {(): 0}}
+        paths = {0: {(): -1}}  # prefix length -> path -> state (its last arc)
         for end in range(1, len(word)):
-            paths[end] = {(*p, t): a.to[t] for start in range(end) for t in [a.ids.get(word[start:end])] if t is not None
+            paths[end] = {(*p, t): t for start in range(end) for t in [a.ids.get(word[start:end])] if t is not None
                           for p, state in paths[start].items() if a.has(state, t)}
             assert len(paths[end]) == 1, word[:end]
 
