@@ -14,8 +14,8 @@ The loss mask is a list of [start, end) code-point spans over the bodies of
 the trained role.
 
 Edge cases: null text, role or parts are empty; rows of a conversation are
-ordered by turn (null first), then role and body, so repeated rows stay and
-reruns agree; a null conv_id is a conversation of its own; a part of an
+ordered by turn (null first), then role and what they say, so repeated rows
+stay and reruns agree; a null conv_id is a conversation of its own; a part of an
 unknown type, or a null one, gives nothing; an empty table gives an empty
 result; further columns are ignored. A conversation is one row of the result,
 so one conversation must fit a row (2 GB).
@@ -77,6 +77,12 @@ def formatted(rows: DataFrame, trained: str = "assistant") -> DataFrame:
         "conv_id", F.struct(F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
                             body(F.col("parts")).alias("body"), attachments(F.col("parts")).alias("media")).alias("t"))
     one = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    # Rows of one turn and role go by what they say, not by how it is escaped.
+    said = F.sort_array(F.transform("turns", lambda t: F.struct(
+        t["turn"].alias("turn"), t["role"].alias("role"), unescape(t["body"]).alias("said"), t["body"].alias("body"), t["media"].alias("media"))))
+    said = F.transform(said, lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["body"].alias("body"), t["media"].alias("media")))
+    keys = F.transform("turns", lambda t: F.struct(t["turn"], t["role"]))
+    one = one.withColumn("turns", F.when(F.size(F.array_distinct(keys)) < F.size(keys), said).otherwise(F.col("turns")))
     # The whole text up to each body's start follows from running lengths.
     lead = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(SAYS))
     kind = "struct<at:int,spans:array<struct<start:int,end:int>>>"
@@ -98,12 +104,45 @@ def formatted(rows: DataFrame, trained: str = "assistant") -> DataFrame:
         F.aggregate(media, F.lit(0).cast("long"), lambda n, m: n + m["tokens"]).alias("expanded_tokens"))
 
 
-def read_turns(text: Column) -> Column:
-    """(role, text) of each turn, read back from a formatted conversation."""
+def _bodies(text: Column) -> Column:
+    """(role, body) of each turn of a formatted conversation, both escaped."""
     each = F.filter(F.split(text, r"<\|turn\|>", -1), lambda t, i: i > 0)
     return F.transform(each, lambda t: F.struct(
-        unescape(F.substring_index(t, SAYS, 1)).alias("role"),
-        unescape(F.substring_index(F.substring_index(t, SAYS, -1), END, 1)).alias("text")))
+        F.substring_index(t, SAYS, 1).alias("role"),
+        F.substring_index(F.substring_index(t, SAYS, -1), END, 1).alias("body")))
+
+
+def read_turns(text: Column) -> Column:
+    """(role, text) of each turn, read back from a formatted conversation."""
+    return F.transform(_bodies(text), lambda t: F.struct(unescape(t["role"]).alias("role"), unescape(t["body"]).alias("text")))
+
+
+def read_parts(text: Column, media: Column) -> Column:
+    """(role, parts) of each turn, read back: parts are (type, text, ref,
+    tokens). A placeholder is told from a text that says the same before
+    anything is unescaped, as escaped texts hold no `<|`; the n-th placeholder
+    of the conversation takes the n-th of its attachments. Text parts that
+    follow each other come back as one, empty ones not at all."""
+    mark = "<\\|(?:%s)\\|>" % "|".join(MEDIA)
+    kind = "struct<type:string,text:string,ref:string,tokens:bigint>"
+    pieces = F.transform(_bodies(text), lambda t: F.struct(
+        unescape(t["role"]).alias("role"),
+        F.regexp_extract_all(t["body"], F.lit("(?s)(%s|(?:(?!<\\|).)+)" % mark), F.lit(1)).alias("pieces")))
+    is_mark = lambda p: p.rlike("^%s$" % mark)
+    before = F.transform(pieces, lambda t, i: F.aggregate(
+        F.slice(pieces, F.lit(1), i), F.lit(0), lambda n, u: n + F.size(F.filter(u["pieces"], is_mark))))
+
+    def part(t, i):
+        def one(p, k):
+            at = F.get(before, i) + F.size(F.filter(F.slice(t["pieces"], F.lit(1), k), is_mark))
+            a = F.get(media, at)
+            return F.when(is_mark(p), F.struct(a["type"].alias("type"), F.lit(None).cast("string").alias("text"), a["ref"].alias("ref"),
+                                               a["tokens"].alias("tokens"))).otherwise(
+                F.struct(F.lit("text").alias("type"), unescape(p).alias("text"), F.lit(None).cast("string").alias("ref"),
+                         F.lit(None).cast("long").alias("tokens"))).cast(kind)
+        return F.struct(t["role"].alias("role"), F.transform(t["pieces"], one).alias("parts"))
+
+    return F.transform(pieces, part)
 
 
 def masked_text(text: Column, spans: Column) -> Column:

@@ -17,7 +17,9 @@ def test_read_back_matches_brute_force(spark, tmp_path):
     rows = [(i // 4, i % 4, ["user", "assistant", "system", None][rng.randrange(4)],
              "".join(rng.choice(bits) for _ in range(rng.randrange(12))), "x", 1) for i in range(80)]
     rows += [(50, 0, "assistant", None, None, None), (50, 0, "assistant", None, None, None), (51, None, "<|says|>", "t", None, None),
-             (51, 1, "assistant", LONG, None, None), (None, 0, "user", "no id", None, None)]
+             (51, 1, "assistant", LONG, None, None), (52, 0, "assistant", "<|a", None, None), (52, 0, "assistant", "<z", None, None),
+             (52, 0, "user", "<|a", None, None), (52, 0, "user", "<z", None, None), (52, None, "user", "\\b", None, None),
+             (52, None, "user", "\\", None, None), (None, 0, "user", "no id", None, None)]
     write(spark, str(tmp_path), "conversations", rows, CONV)
     got = {r.conv_id: r for r in chat.op3_chat(spark, str(tmp_path)).collect()}
     groups = {-1: [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]}
@@ -28,8 +30,7 @@ def test_read_back_matches_brute_force(spark, tmp_path):
         turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
         loss = "".join(t for _, r, t in turns if r == "assistant")
         g = got[c]
-        if len({t[:2] for t in turns}) == len(turns):
-            assert g.turns_sha256 == sha("".join(r + "\n" + t + "\n" for _, r, t in turns))
+        assert g.turns_sha256 == sha("".join(r + "\n" + t + "\n" for _, r, t in turns))
         assert (g.n_turns, g.loss_chars, g.loss_sha256) == (len(turns), len(loss), sha(loss))
         assert g.formatted_chars >= sum(len(r) + len(t) for _, r, t in turns)
 
@@ -55,6 +56,37 @@ def test_parts_in_order_with_references_and_tokens(spark):
     assert out[2].formatted == "<|turn|>assistant<|says|><|end|>" and out[2].attachments == []
 
 
+def test_every_part_type_reads_back(spark):
+    rng = random.Random(9)
+    part = "struct<type:string,text:string,ref:string,units:bigint>"
+    says = ["<|image|>", "<|audio|>", "<|document|>", "<|", "\\", "a b", "\n", "é🙂", "", "<|turn|>", "|>", "[INST]"]
+    rows, want = [], {}
+    for c in range(40):
+        for turn in range(rng.randint(1, 4)):
+            parts, flat = [], []
+            for _ in range(rng.randint(0, 6)):
+                kind = rng.choice(["text", "text", "image", "audio", "document"])
+                if kind == "text":
+                    text = "".join(rng.choice(says) for _ in range(rng.randint(0, 3)))
+                    parts.append((kind, text, None, None))
+                    if text and flat and flat[-1][0] == "text":
+                        flat[-1] = ("text", flat[-1][1] + text, None, None)
+                    elif text:
+                        flat.append(("text", text, None, None))
+                else:
+                    units = rng.choice([None, 1, 7])
+                    ref = "%s-%d.bin" % (kind, rng.randint(0, 99))
+                    parts.append((kind, "ignored", ref, units))
+                    flat.append((kind, None, ref, (1 if units is None else units) * chat.MEDIA[kind][1]))
+            role = rng.choice(["user", "assistant", "<|says|>"])
+            rows.append((c, turn, role, parts))
+            want.setdefault(c, []).append((role, flat))
+    out = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, parts array<%s>" % part))
+    back = out.select("conv_id", chat.read_parts(F.col("formatted"), F.col("attachments")).alias("turns"))
+    got = {r.conv_id: [(t.role, [tuple(p) for p in t.parts]) for t in r.turns] for r in back.collect()}
+    assert got == want
+
+
 def test_empty_conversations_give_the_planted_one(spark, tmp_path):
     write(spark, str(tmp_path), "conversations", [], CONV)
     assert [r.conv_id for r in chat.op3_chat(spark, str(tmp_path)).collect()] == [-1]
