@@ -29,6 +29,8 @@ from barkeep.llm.common import SEGMENT, groups_of, id_fold, mix, text_bytes
 
 BINS, CENTROIDS, FIT_ROWS, ROUNDS, RADIUS_QUANTILE = 4096, 4, 400, 12, 0.005
 MANY_LANGS = 10_000
+#: Fewer texts make no cluster of their own.
+MEMBERS = 3
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -112,8 +114,9 @@ def fit(docs: DataFrame, seed: int = 5, rows: int = FIT_ROWS) -> Model:
 
 def cluster(rows: list[tuple[str, np.ndarray]], idf: np.ndarray, seed: int) -> Model:
     """Cosine k-means per language: seeds drawn by their distance to those
-    before, in a seeded order by content. Clusters with less than 3 % of the
-    texts (mixed or broken ones) give no centroid."""
+    before, in a seeded order by content. The texts of a cluster of fewer than
+    MEMBERS go to the nearest other one; every other cluster, however small a
+    part of the language, gives a centroid."""
     langs, centroids, radius, rng = [], [], [], np.random.default_rng(seed)
     for lang in sorted({r[0] for r in rows}):
         x = np.stack(sorted((v for q, v in rows if q == lang), key=lambda v: v.tobytes())).astype(np.float32)
@@ -125,11 +128,13 @@ def cluster(rows: list[tuple[str, np.ndarray]], idf: np.ndarray, seed: int) -> M
             c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
             own = np.argmax(x @ c.T, 1)
             c = np.stack([x[own == k].mean(0) if (own == k).any() else c[k] for k in range(len(c))])
+        size = np.bincount(np.argmax(x @ c.T, 1), minlength=len(c))
+        c = c[size >= min(MEMBERS, size.max())]
+        own = np.argmax(x @ c.T, 1)
+        c = np.stack([x[own == k].mean(0) if (own == k).any() else c[k] for k in range(len(c))])
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         near, own = (x @ c.T).max(1), np.argmax(x @ c.T, 1)
-        for k in range(len(c)):
-            if (own == k).sum() < 0.03 * len(x):
-                continue
+        for k in np.unique(own):
             langs.append(lang)
             centroids.append(c[k])
             radius.append(float(np.quantile(near[own == k], RADIUS_QUANTILE)))

@@ -177,3 +177,43 @@ def test_fingerprint_one_and_no_row(spark, tmp_path):
     one = fingerprint.op8_fingerprint(spark, write_docs(spark, str(tmp_path / "a"), [(5, "abcd")])).collect()
     assert [(r.doc_id, r.edited_sha256) for r in one] == [(5, hashlib.sha256(b"abab").hexdigest())]
     assert fingerprint.op8_fingerprint(spark, write_docs(spark, str(tmp_path / "b"), [])).collect() == []
+
+
+def test_language_scores_against_dictionaries(spark):
+    """Cosine of dictionary TF-IDF vectors with given centroids."""
+    from barkeep.llm.common import mix
+    rng = np.random.default_rng(3)
+    model = langid.Model(["aa", "bb", "cc"], rng.random(langid.BINS).astype(np.float32) + 0.1,
+                         np.abs(rng.normal(size=(3, langid.BINS))).astype(np.float32), np.zeros(3))
+    model.centroid /= np.linalg.norm(model.centroid, axis=1, keepdims=True)
+    texts = ["Ein Satz, noch EIN Satz.", "été 漢字 x", "a", "a1b2", LONG[:3000], "one two\nthree"] + prose(5, 20)
+
+    def brute(text):
+        letters = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in text.encode().lower())
+        padded, found = b"  " + letters + b"  ", {}
+        for i in range(len(padded) - 2):
+            g = padded[i:i + 3]
+            if g != b"   ":
+                code = np.array([g[0] << 16 | g[1] << 8 | g[2]], np.uint64)
+                at = int(mix(code)[0]) % langid.BINS
+                found[at] = found.get(at, 0) + 1
+        weight = {k: np.log1p(n) * float(model.idf[k]) for k, n in found.items()}
+        size = sum(w * w for w in weight.values()) ** 0.5
+        return [sum(w * float(c[k]) for k, w in weight.items()) / size for c in model.centroid]
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predicted(docs, model).collect():
+        want = brute(texts[r.doc_id])
+        assert r.score == pytest.approx(max(want), abs=1e-5) and want[model.langs.index(r.lang_pred)] == pytest.approx(max(want), abs=1e-6)
+
+
+def test_a_rare_script_keeps_its_centroid():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(80)) for _ in range(300)]
+    rare = ["".join(rng.choice("абвгдежз ") for _ in range(80)) for _ in range(5)]          # under 2 % of the language
+    idf = np.ones(langid.BINS, np.float32)
+    rows = [("xx", v) for v in langid.vectors([t.encode() for t in texts + rare], idf)]
+    m = langid.cluster(rows, idf, 5)
+    fresh = langid.vectors(["".join(rng.choice("абвгдежз ") for _ in range(80)).encode() for _ in range(5)], idf)
+    plain = langid.cluster(rows[:300], idf, 5)
+    assert (fresh @ m.centroid.T).max(1).min() > 2 * (fresh @ plain.centroid.T).max(1).max()

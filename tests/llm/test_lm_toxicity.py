@@ -139,3 +139,15 @@ def test_no_or_one_sided_labels(spark, tmp_path):
     write(spark, path, "labels", [(7, 0, None), (None, 1, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.op2_toxicity(spark, path).collect()
     assert len(got) == len(awkward()) and len({r.score for r in got}) == 1
+
+
+def test_machine_scores_are_the_sum_over_pairs():
+    rng = np.random.default_rng(1)
+    n, width = 30, toxicity.FACTORS
+    m = toxicity.Machine(np.arange(n), 0.3, rng.normal(size=n), rng.normal(size=(n, width)))
+    sets = [np.unique(rng.integers(0, n, k)) for k in (0, 1, 2, 5, 20)]
+    doc = np.concatenate([np.full(len(s), i) for i, s in enumerate(sets)]).astype(np.int64)
+    got = m.scores(doc, np.concatenate(sets).astype(np.int64), len(sets))
+    for s, score in zip(sets, got):
+        line = m.bias + sum(m.weight[i] for i in s) + sum(m.factor[i] @ m.factor[j] for a, i in enumerate(s) for j in s[a + 1:])
+        assert score == pytest.approx(1 / (1 + np.exp(-line)))
