@@ -25,32 +25,47 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five words, 0.8),
-    the one with the least id; of rows that share an id, the first by text.
-    Documents without shingles or without an id stay."""
-    found = stored(neardup.near_duplicates(docs), "pipeline-groups").where("doc_id is not null")
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    again = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("__rows")).where("__rows > 1").select("doc_id")
-
-    def ids(frame: DataFrame) -> DataFrame:
+    the one with the least id. What is decided is a text of an id: rows that
+    share an id but not the text are documents of their own (all but one of
+    such an id count as larger than every id), of equal rows one stays.
+    Documents without shingles or without an id stay, repeated ones too; an
+    empty table gives none; texts of any length are compared whole, and columns
+    of any name pass through."""
+    own = F.xxhash64("text")
+
+    def few(frame: DataFrame, name: str) -> DataFrame:
         """Broadcast behind a check of their number."""
-        frame = stored(frame, "pipeline-ids")
+        frame = stored(frame, name)
         return F.broadcast(frame) if frame.count() <= neardup.FEW_IDS else frame
 
-    left = docs.join(ids(gone), "doc_id", "left_anti").select(*docs.columns)
-    again = ids(again)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    once = left.join(again, "doc_id", "left_semi").withColumn("__row", first).where("__row = 1").select(*docs.columns)
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"), own.alias("hash"), "text")
+    several = rows.where("id is not null").groupBy("id").agg(F.min("hash").alias("first"), F.max("hash").alias("last"))
+    several = few(several.where(F.col("first") < F.col("last")).select("id", "first"), "pipeline-shared")
+    rows = rows.join(several, "id", "left")
+    other = F.col("first").isNotNull() & (F.col("first") != F.col("hash"))
+    late = F.xxhash64("id", "hash").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    rows = rows.withColumn("key", F.when(other, late).otherwise(F.col("id")))
+    found = stored(neardup.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text")), "pipeline-groups").where("doc_id is not null")
+    gone = few(found.where(~F.col("kept")).select(F.col("doc_id").alias("key")).distinct(), "pipeline-gone")
+    again = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    again = few(again.select(F.col("doc_id").alias("key")), "pipeline-again")
+    left = rows.select("doc", "key").join(gone, "key", "left_anti")
+    # Rows of one key are equal in id and text, or have no shingles.
+    order = F.row_number().over(Window.partitionBy("key").orderBy("doc.text"))
+    once = left.join(again, "key", "left_semi").withColumn("row", order).where("row = 1")
+    return left.join(again, "key", "left_anti").select("doc.*").unionByName(once.select("doc.*"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret span is replaced by a mark; other texts stay as they are."""
-    found = secrets.scanned(docs)
-    out = found.withColumn("__new", secrets.redacted(F.col("text"), F.col("__spans")))
-    columns = {"text": F.col("__new")}
+    """Every secret span is replaced by a mark; other texts stay as they are,
+    null and empty ones too. Repeated rows are treated alike; an empty table
+    gives none; columns of any name pass through."""
+    found = secrets.scanned(docs.select(F.struct(*docs.columns).alias("doc"), "text"))
+    out = found.withColumn("new", secrets.redacted(F.col("text"), F.col("__spans"))).withColumn("found", F.size("__spans") > 0)
+    columns = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.size("__spans") > 0, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumns(columns).select(*docs.columns)
+        columns["n_chars"] = F.when(F.col("found"), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    return out.select(*[columns.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +76,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left: a row per row, null texts as
+    empty ones; an empty table gives none."""
     return bpe.encoded(docs)
 
 
