@@ -148,3 +148,26 @@ def test_one_row_of_a_repeated_id_stays(spark, tmp_path):
     docs = spark.read.parquet(write_docs(spark, str(tmp_path), rows) + "/documents.parquet")
     got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).select("doc_id", F.length("text")).collect()
     assert sorted((r.doc_id for r in got), key=str) == [1, 2, None, None]
+
+
+def test_unrelated_texts_of_one_id_stay(spark, tmp_path):
+    a, b, c, d = (" ".join("%s%d" % (x, i) for i in range(40)) for x in "abcd")
+    rows = [(1, a), (1, b), (1, b), (2, a + " tail"), (3, b), (4, c), (4, d), (4, d + " more"), (5, ""), (5, None), (5, "x"), (0, c)]
+    docs = spark.read.parquet(write_docs(spark, str(tmp_path), rows) + "/documents.parquet")
+    got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    # a: 1 before 2; b: one of 1 or 3 (the text of 1 may count as the later); c: 0 before 4; d and its copy: one
+    assert [r for r in kept if r[1] in (a, a + " tail")] in ([(1, a)], [(2, a + " tail")])
+    assert [r[1] for r in kept].count(b) == 1 and [r for r in kept if r[1] == c] == [(0, c)]
+    assert sum(r[1] in (d, d + " more") for r in kept) == 1
+    assert [r for r in kept if r[0] == 5] == sorted([(5, ""), (5, None), (5, "x")], key=str)
+
+
+def test_stages_pass_clashing_names_through(spark, tmp_path):
+    rows = [(i, "words of number %d and its own tail%d" % (i, i * i), "s%d" % (i % 2), i, 2, 3, 4, 5, 6) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, key long, id long, hash long, doc long, __spans long")
+    got = corpus_pipeline.secret_scan(spark, corpus_pipeline.near_duplicates(spark, docs, ""), "")
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == rows
+    mixed = corpus_pipeline.mix(spark, docs, "")
+    assert mixed.columns == docs.columns and set(map(tuple, mixed.collect())) <= set(rows)
