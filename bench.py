@@ -62,12 +62,12 @@ def main() -> None:
 
     from barkeep.operators.checks import run_checks
     from barkeep.operators.actions import normalise_actions
-    from barkeep.plans.board import board
+    from barkeep.plans.board import board, board_of_archive
     from barkeep.sources import driver as D
     from barkeep.plans.ingest import check_archive, rebuild_archive
     from barkeep.sources.actions import read_actions, save_actions
     from barkeep.sources.bronze import land_bronze
-    from barkeep.sources.silver import (available, load_bars, merge_into_silver, read_bars_csv,
+    from barkeep.sources.silver import (archive_counts, available, load_bars, merge_into_silver, read_bars_csv,
                                         refresh_check_summary, register_views, write_silver)
 
     root = scratch_path(spark, "bench-silver")
@@ -148,6 +148,10 @@ def main() -> None:
     rows["checks_kept"] = timed("checks_kept", lambda: len(check_archive(
         spark, root, as_of="2024-02-04", intervals=("1m",), summary_root=summary).collect()), 3)
 
+    # boards from the archive with the kept day table
+    rows["board_7d_kept"] = timed("board_7d_kept", lambda: board_of_archive(spark, root, summary, store, 7).count(), 3)
+    rows["archive_counts"] = timed("archive_counts", lambda: archive_counts(spark, root).count(), 3)
+
     # write paths, as the reference's load numbers: land the upstream
     # payloads (every symbol-day, both grains), rebuild silver from bronze
     # (re-parse, no re-fetch), and bulk-load the headerless CSV spool
