@@ -7,9 +7,9 @@ a weight per term and, for every pair of terms, the inner product of their
 factor vectors, so that a combination (an insult with a group's name) can
 weigh more than its parts.
 
-Edge cases: a null or empty text has no feature and gets the bias alone;
-repeated rows are scored alike; without labelled rows, or with one class
-only, the score is the smoothed share of toxic labels; conflicting labels of
+Edge cases: a null or empty text has no feature and gets the bias alone; very
+long texts count whole; repeated rows are scored alike; an empty table gives no
+rows; without labelled rows, or with one class only, the score is the smoothed share of toxic labels; conflicting labels of
 one id count as toxic; further columns are ignored.
 """
 
@@ -23,14 +23,16 @@ from pyspark.sql import functions as F
 
 from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, stored, text_bytes
 
-#: At most about this many labelled rows are fitted (seeded hash of the id).
-FIT_ROWS = 12_000
+#: At most about this many labelled rows are fitted (seeded hash of the id),
+#: and of these (seeded hash of the terms) about as many as hold this many
+#: terms together: few very long texts, or many texts of one id, cost no more.
+FIT_ROWS, FIT_TERMS = 12_000, 1 << 24
 #: A term is a feature if this many fitted texts hold it and its share among
 #: toxic texts differs from that among others by this many standard errors,
 #: or if a pair it makes with any other term tells by more (a pair can tell
 #: what neither of its terms does, or turn what one of them does). A pair
 #: counts from PAIR_TEXTS fitted texts on; PAIR_TASKS share the counting.
-MIN_TEXTS, MIN_Z, MAX_TERMS = 4, 3.0, 4096
+MIN_TEXTS, MIN_Z = 4, 3.0
 PAIR_TEXTS, MIN_PAIR_Z, PAIR_TASKS = 10, 7.0, 24
 PREFIXES = (4, 5)
 FACTORS, EPOCHS, STEPS, RATE, DECAY = 4, 60, 1400, 0.05, 5e-4
@@ -92,6 +94,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     # `chosen` holds about `rows` ids at most: that bound allows the broadcast.
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
                     .mapInArrow(features, "toxic int, terms array<int>").distinct(), "toxicity-sample")
+    held_all = sample.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    sample = sample.where(sampled(F.col("terms"), held_all, FIT_TERMS, seed))
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < toxic < n:
         return constant(n, toxic)
@@ -99,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
         F.count("*").alias("df"), F.sum("toxic").alias("hit")).where(F.col("df") >= MIN_TEXTS), "toxicity-terms")
     p1, p0 = (F.col("hit") + 0.5) / (toxic + 1), (F.col("df") - F.col("hit") + 0.5) / (n - toxic + 1)
     z = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / toxic + p0 * (1 - p0) / (n - toxic))
-    telling = [r["term"] for r in counts.where(z >= MIN_Z).orderBy(z.desc(), "term").limit(MAX_TERMS).collect()]
+    telling = [r["term"] for r in counts.where(z >= MIN_Z).select("term").collect()]  # fewer than FIT_TERMS / MIN_TEXTS
     pool = counts.where(F.col("df") >= PAIR_TEXTS).select("term").toArrow().column(0).to_numpy()
     terms = np.union1d(pool, np.array(telling, np.int64)).astype(np.int64)
 
