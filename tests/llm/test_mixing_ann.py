@@ -182,6 +182,34 @@ def test_rows_of_an_id_take_one_place(spark, tmp_path, monkeypatch):
     assert {len(found) for found in run(spark, str(tmp_path / "leaves")).values()} == {20}
 
 
+def test_leaves_split_as_the_table_grows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 64)
+    monkeypatch.setattr(ann, "LEAF", 16)
+    monkeypatch.setattr(ann, "GROW", 40)
+    opened, blocks = [], []
+    split = ann.grown
+    monkeypatch.setattr(ann, "grown", lambda rows, *a: opened.append(split(blocks.append(rows) or rows, *a)) or opened[-1])
+    rows = vectors(3000, 12, 5)
+    rows += [(4000 + i, rows[20][1]) for i in range(1500)]                 # a third is one vector
+    rows += [(20, (np.array(rows[20][1]) * (1 + i / 900)).astype(np.float32).tolist()) for i in range(300)]   # many vectors of one id
+    write(spark, str(tmp_path), "embeddings", [(*r, 1, 0.5, "x") for r in rows], VECS)
+    got, want = run(spark, str(tmp_path)), brute(rows)
+    assert len([t for t in opened if t is not None]) >= 2                  # levels below the top
+    sizes = [r.n for r in blocks[-1].where("vec_id < 4000").groupBy("leaf").count().withColumnRenamed("count", "n").collect()]
+    assert np.median(sizes) <= 40
+    assert set(got) == set(want) and {len(f) for f in got.values()} == {20}
+    assert np.mean([np.mean([s >= want[q][-1][0] for s, _ in found]) for q, found in got.items()]) >= 0.9
+
+
+def test_doubles_keep_their_precision(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=7).tolist()) for i in range(90)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.search(docs, lambda i: i % 20 == 0).collect()}
+    assert len(got) == 100
+    assert all(s == float(np.add.reduce(np.array(rows[q][1]) * np.array(rows[i][1]))) for (q, i), s in got.items())
+
+
 def test_no_vectors(spark, tmp_path):
     write(spark, str(tmp_path), "embeddings", [], VECS)
     assert run(spark, str(tmp_path)) == {}
