@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's word table before the older half goes: bounds memory only.
-WORD_TABLE = 250_000
+WORD_TABLE = 125_000
 _ROOT = -1  # the state before any arc: it has them all
 
 
@@ -211,6 +211,7 @@ def encoded(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(part.num_columns - 1)), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                     schema.names)
+            pa.default_memory_pool().release_unused()
 
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
 
