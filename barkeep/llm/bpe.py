@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barkeep.llm.common import give_back
+
 #: Entries of a worker's word table before the older half goes: bounds memory only.
 WORD_TABLE = 125_000
 _ROOT = -1  # the state before any arc: it has them all
@@ -155,6 +157,11 @@ class Encoder:
         self.known[word] = got
         return got
 
+    def forget(self) -> None:
+        """Empties the tables, which only save time."""
+        self.known, self.older = {}, {}
+        self.automaton.table.clear()
+
     def normalise(self, text: str) -> str:
         # Lower-casing looks at single characters: no final sigma.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -211,7 +218,10 @@ def encoded(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(part.num_columns - 1)), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                     schema.names)
-            pa.default_memory_pool().release_unused()
+            give_back()
+        # A task's words seldom help the next one's; the worker lives on.
+        e.forget()
+        give_back()
 
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barkeep.llm.common import groups_of, hash_words, mix, pair_hash, stored, text_bytes
+from barkeep.llm.common import give_back, groups_of, hash_words, mix, pair_hash, stored, text_groups
 
 ROWS, BANDS = 5, 30
 M = ROWS * BANDS
@@ -124,9 +124,8 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for lo, hi in groups_of([len(t or b"") for t in texts]):
-                e, n = shingles(texts[lo:hi], width)
+            for lo, hi, texts in text_groups(batch.column(1)):
+                e, n = shingles(texts, width)
                 owner = np.repeat(np.arange(hi - lo), n)
                 a, b = np.zeros(hi - lo, np.uint64), np.zeros(hi - lo, np.uint64)
                 np.add.at(a, owner, mix(e ^ np.uint64(0x51)))
@@ -140,6 +139,7 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(b.view(np.int64)), pa.array(rows, pa.list_(pa.int64())),
                     pa.array([x.tobytes() for x in sig.astype(np.uint16)], pa.binary())],
                     ["doc_id", "n", "a", "b", "bands", "places"])
+            give_back()
 
     return docs.mapInArrow(run, "doc_id long, n long, a long, b long, bands array<long>, places binary")
 
@@ -149,13 +149,13 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for lo, hi in groups_of([len(t or b"") for t in texts]):
-                e, n = shingles(texts[lo:hi], width)
+            for lo, hi, texts in text_groups(batch.column(1)):
+                e, n = shingles(texts, width)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo),
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(e.view(np.int64)))], ["doc_id", "set"])
+            give_back()
 
     return docs.mapInArrow(run, "doc_id long, set array<long>")
 

@@ -20,8 +20,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from barkeep.llm.common import groups_of, hash_words, id_fold, sampled, stored, text_bytes
+from barkeep.llm.common import SEGMENT, give_back, hash_words, id_fold, sampled, stored, text_groups
 
 #: At most about this many labelled rows are fitted (seeded hash of the id),
 #: and of these (seeded hash of the terms) about as many as hold this many
@@ -84,12 +85,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     def features(batches):
         import pyarrow as pa
         for b in batches:
-            texts = text_bytes(b.column(1))
-            for lo, hi in groups_of([len(t or b"") for t in texts]):
-                doc, term = term_sets(texts[lo:hi])
+            for lo, hi, texts in text_groups(b.column(1), SEGMENT // 2):
+                doc, term = term_sets(texts)
                 cut = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(
                     pa.array(cut), pa.array(term.astype(np.int32)))], ["toxic", "terms"])
+            give_back()
 
     # `chosen` holds about `rows` ids at most: that bound allows the broadcast.
     sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
@@ -116,6 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
                 at[at == len(terms)] = 0
                 sets.append(at[terms[at] == own].astype(np.int32).tobytes() if len(terms) else b"")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["toxic", "terms"])
+        give_back()
 
     got = sorted((r["toxic"], bytes(r["terms"])) for r in sample.mapInArrow(held_terms, "toxic int, terms binary").collect())
     y = np.array([r[0] for r in got], float)
@@ -225,15 +227,20 @@ def paired(spark, term: np.ndarray, cut: np.ndarray, clean: int, telling: np.nda
                         found[c] = True
                         found[a] |= len(c) > 0
                 yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(found))], ["place"])
+                del at, doc, own, found
+                give_back()
 
     tasks = spark.range(0, PAIR_TASKS, 1, PAIR_TASKS)
     return tasks.mapInArrow(count, "place long").distinct().toArrow().column(0).to_numpy()
 
 
 def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
-    """The columns `keep` and the score as `out`, one row per input row."""
+    """The columns `keep` and the score as `out`, one row per input row. A text
+    that is among `keep` goes to the tasks once."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
     schema = docs.select(*keep).schema.add(out, "double")
+    kept = text in keep and docs.schema[text].dataType == StringType()
+    place = keep.index(text) if kept else len(keep)
 
     def run(batches):
         import pyarrow as pa
@@ -241,18 +248,19 @@ def scored(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text
         known = np.zeros(1 << 20, bool)
         known[fm.terms & ((1 << 20) - 1)] = True
         for b in batches:
-            texts = text_bytes(b.column(b.num_columns - 1))
-            score = np.zeros(len(texts))
-            for lo, hi in groups_of([len(t or b"") for t in texts]):
-                doc, term = term_sets(texts[lo:hi], known)
+            score = np.zeros(b.num_rows)
+            for lo, hi, texts in text_groups(b.column(place), SEGMENT // 2):
+                doc, term = term_sets(texts, known)
                 at = np.searchsorted(fm.terms, term)
                 at[at == len(fm.terms)] = 0
                 on = fm.terms[at] == term if len(fm.terms) else np.zeros(len(term), bool)
                 score[lo:hi] = fm.scores(doc[on], at[on], hi - lo)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(score)],
-                                             [*b.schema.names[:-1], out])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(score)],
+                                             [*b.schema.names[:len(keep)], out])
+            give_back()
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    sent = [] if kept else [F.col(text).cast("string").alias("__text")]
+    return docs.select(*keep, *sent).mapInArrow(run, schema)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -109,6 +109,21 @@ def test_bpe_query(spark, tmp_path, library):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_workers_hold_no_word_after_a_task(spark, library):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(prose(9, 60))], "doc_id long, text string").repartition(4)
+    assert bpe.encoded(docs).count() == 60 and len({r.ids_sha256 for r in bpe.encoded(docs).collect()}) > 1
+
+    def held(batches):
+        import pyarrow as pa
+
+        from barkeep.llm import bpe
+        for b in batches:
+            n = sum(len(e.known) + len(e.older) + len(e.automaton.table) for e in bpe._ENCODERS.values())
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_bpe_no_rows(spark, tmp_path):
     assert bpe.op7_bpe(spark, write_docs(spark, str(tmp_path), [])).collect() == []
 

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 from math import isclose, log10
@@ -5,9 +6,10 @@ from math import isclose, log10
 import numpy as np
 import pytest
 from corpus import LONG, awkward, prose, words, write, write_docs
+from pyspark.sql import functions as F
 
 from barkeep.llm import lm, toxicity
-from barkeep.llm.common import hash_words
+from barkeep.llm.common import groups_of, hash_words, text_bytes, text_groups
 
 
 def fold(i, n):
@@ -141,6 +143,35 @@ def test_no_or_one_sided_labels(spark, tmp_path):
     assert len(got) == len(awkward()) and len({r.score for r in got}) == 1
 
 
+def test_texts_are_copied_a_range_at_a_time():
+    import pyarrow as pa
+    texts = [None if i % 7 == 0 else "é" * (i % 900) for i in range(9000)]
+    column = pa.array(texts, pa.string())
+    want = [None if t is None else t.encode() for t in texts]
+    assert [t for _, _, part in text_groups(column, 1 << 16) for t in part] == want == text_bytes(column)
+    assert [g[:2] for g in text_groups(column, 1 << 16)] == list(groups_of([len(t or b"") for t in want], 1 << 16))
+    assert list(text_groups(pa.nulls(2))) == [(0, 2, [None, None])] and not list(text_groups(column[:0]))
+    tracemalloc.start()
+    for _ in text_groups(column, 1 << 16):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(len(t or b"") for t in want) / 4, peak
+
+
+def test_a_kept_text_is_sent_once(spark):
+    docs = spark.createDataFrame([(1, "scum, and Scum", "a"), (2, None, "b"), (3, "fine", None)], "doc_id long, text string, lang string")
+    terms = np.unique(toxicity.term_sets([b"scum"])[1])
+    machine = toxicity.Machine(terms, -1.0, np.full(len(terms), 3.0), np.zeros((len(terms), toxicity.FACTORS)))
+    whole = toxicity.scored(docs, machine, docs.columns)
+    assert "__text" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r[:3] for r in whole.collect()) == sorted(map(tuple, docs.collect()))
+    assert {(r.doc_id, r.score) for r in whole.collect()} == set(map(tuple, toxicity.scored(docs, machine, ["doc_id"]).collect()))
+    # A text that is no string is cast for the score and passed on as it is.
+    other = docs.withColumn("text", F.col("text").cast("binary"))
+    assert {(r.doc_id, r.score) for r in toxicity.scored(other, machine, other.columns).collect()} == {(r.doc_id, r.score) for r in whole.collect()}
+
+
 def test_machine_scores_are_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     n, width = 30, toxicity.FACTORS
